@@ -10,15 +10,13 @@ Work on places grows with the number of places only, and the list per cell does
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from riskflow.operators.skew import heavy_keys, lookup
 
 # Level l has 2^l x 2^l cells. The first level is fixed small (1,024 cells); cells stay at one of these levels.
-BASE_LEVEL = 5
 LEAF_LEVELS = (5, 7, 9, 11)
+BASE_LEVEL = LEAF_LEVELS[0]
 DIRECTORY_LEVEL = 9
 # A cell with more listed places than this is cut further, down to the last level.
 MAX_LISTED = 8
@@ -26,116 +24,104 @@ MAX_LISTED = 8
 SLACK = 1e-9
 
 
-def _height(level: int) -> float:
-    return 180.0 / (1 << level)
-
-
-def _width(level: int) -> float:
-    return 360.0 / (1 << level)
-
-
-def _row(lat: Column, level: int) -> Column:
-    return F.least(F.floor((lat + 90.0) / _height(level)), F.lit((1 << level) - 1))
+def _row(lat: str, level: int) -> str:
+    return f"least(floor(({lat} + 90) * {(1 << level) / 180.0}D), {(1 << level) - 1}L)"
 
 
-def _col(lon: Column, level: int) -> Column:
-    return F.least(F.floor((lon + 180.0) / _width(level)), F.lit((1 << level) - 1))
+def _col(lon: str, level: int) -> str:
+    return f"least(floor(({lon} + 180) * {(1 << level) / 360.0}D), {(1 << level) - 1}L)"
 
 
-def _squared_range(level: Column, ix: Column, iy: Column, lat: Column, lon: Column) -> tuple[Column, Column]:
-    """Squares of the smallest and largest distance from a place to the points of a cell."""
-    height, width = F.lit(180.0) / F.pow(F.lit(2.0), level), F.lit(360.0) / F.pow(F.lit(2.0), level)
-    south, west = iy * height - 90.0, ix * width - 180.0
-    to_south, to_north = south - lat, lat - (south + height)
-    to_west, to_east = west - lon, lon - (west + width)
-    dy, dx = F.greatest(to_south, to_north, F.lit(0.0)), F.greatest(to_west, to_east, F.lit(0.0))
-    fy, fx = F.greatest(F.abs(to_south), F.abs(to_north)), F.greatest(F.abs(to_west), F.abs(to_east))
-    return dy * dy + dx * dx, fy * fy + fx * fx
+def _on_globe(lat: str, lon: str) -> str:
+    return f"{lat} between -90D and 90D and {lon} between -180D and 180D"
 
 
-def _within(smallest: Column, bound: Column) -> Column:
-    return smallest <= bound * (1.0 + SLACK) + SLACK
+def _within(smallest: str, bound: str) -> str:
+    return f"{smallest} <= {bound} * {1 + SLACK}D + {SLACK}D"
 
 
-def _on_globe(lat: Column, lon: Column) -> Column:
-    return lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0)
+def _with_range(rows: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """Add the squares of the smallest and largest distance from a place to the points of its cell."""
+    return (
+        rows.selectExpr("*", "180D / shiftleft(1, level) as height", "360D / shiftleft(1, level) as width")
+        .selectExpr("*", f"iy * height - 90D - {lat} as south", f"ix * width - 180D - {lon} as west")
+        .selectExpr(
+            "*",
+            "greatest(south, - south - height, 0D) as dy",
+            "greatest(west, - west - width, 0D) as dx",
+            "greatest(abs(south), abs(south + height)) as fy",
+            "greatest(abs(west), abs(west + width)) as fx",
+        )
+        .selectExpr("*", "dy * dy + dx * dx as smallest", "fy * fy + fx * fx as largest")
+        .drop("height", "width", "south", "west", "dy", "dx", "fy", "fx")
+    )
 
 
 def _base_candidates(places: DataFrame) -> DataFrame:
     """Places listed for each base cell, bounded by one sample place per cell: 1,024 x 1,024 at the very most."""
     side = 1 << BASE_LEVEL
-    placed = places.withColumns(
-        {"px": _col(F.col("lon"), BASE_LEVEL), "py": _row(F.col("lat"), BASE_LEVEL), "level": F.lit(BASE_LEVEL)}
-    )
-    samples = placed.groupBy("px", "py").agg(F.min(F.struct("lat", "lon")).alias("s"))
-    level = F.lit(BASE_LEVEL)
-    cells = samples.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(side * side - 1)))).withColumns(
-        {"ix": (F.col("cell") % side).cast("long"), "iy": F.floor(F.col("cell") / side)}
+    height, width = 180.0 / side, 360.0 / side
+    placed = places.selectExpr("*", f"{_col('lon', BASE_LEVEL)} as px", f"{_row('lat', BASE_LEVEL)} as py")
+    cells = (
+        placed.groupBy("px", "py")
+        .agg(F.expr("min(struct(lat, lon)) as s"))
+        .selectExpr("px", "py", "s.*", f"explode(sequence(0L, {side * side - 1}L)) as cell")
+        .selectExpr("*", f"{BASE_LEVEL} as level", f"cell % {side} as ix", f"cell div {side} as iy")
     )
-    farthest = _squared_range(level, F.col("ix"), F.col("iy"), F.col("s.lat"), F.col("s.lon"))[1]
-    rows_apart = F.greatest(F.abs(F.col("iy") - F.col("py")) - 1, F.lit(0)) * _height(BASE_LEVEL)
-    cols_apart = F.greatest(F.abs(F.col("ix") - F.col("px")) - 1, F.lit(0)) * _width(BASE_LEVEL)
     near_cells = (
-        cells.withColumn("bound", F.min(farthest).over(Window.partitionBy("ix", "iy")))
-        .filter(_within(rows_apart * rows_apart + cols_apart * cols_apart, F.col("bound")))
+        _with_range(cells)
+        .selectExpr(
+            "px", "py", "ix", "iy",
+            "min(largest) over (partition by ix, iy) as bound",
+            f"greatest(abs(iy - py) - 1, 0) * {height}D as dy",
+            f"greatest(abs(ix - px) - 1, 0) * {width}D as dx",
+        )
+        .filter(_within("dy * dy + dx * dx", "bound"))
         .groupBy("px", "py")
-        .agg(F.collect_list(F.struct("ix", "iy", "bound")).alias("cells"))
+        .agg(F.expr("collect_list(struct(ix, iy, bound)) as cells"))
     )
     # At most 1,024 rows of at most 1,024 cells each, whatever the number of places.
-    listed = placed.join(F.broadcast(near_cells), ["px", "py"]).select(
-        "city", "lat", "lon", "level", F.inline("cells")
-    )
-    return listed.filter(
-        _within(_squared_range(level, F.col("ix"), F.col("iy"), F.col("lat"), F.col("lon"))[0], F.col("bound"))
-    )
+    listed = placed.join(F.broadcast(near_cells), ["px", "py"])
+    return listed.selectExpr("city", "lat", "lon", f"{BASE_LEVEL} as level", "inline(cells)")
 
 
 def _keep_listed(candidates: DataFrame) -> DataFrame:
     """Drop places that cannot be nearest anywhere in their cell, and count the rest."""
-    cell = Window.partitionBy("level", "ix", "iy")
-    smallest, largest = _squared_range(*map(F.col, ["level", "ix", "iy", "lat", "lon"]))
+    # The bound of the cell that was cut holds for its parts too, so most rows go before the shuffle.
+    ranged = _with_range(candidates).filter(_within("smallest", "bound")).drop("bound")
     return (
-        candidates.withColumn("bound", F.min(largest).over(cell))
-        .filter(_within(smallest, F.col("bound")))
-        .withColumn("listed", F.count(F.lit(1)).over(cell))
+        ranged.selectExpr("*", "min(largest) over (partition by level, ix, iy) as bound")
+        .filter(_within("smallest", "bound"))
+        .selectExpr(
+            "city", "lat", "lon", "level", "ix", "iy", "bound",
+            "count(1) over (partition by level, ix, iy) as listed",
+        )
     )
 
 
 def place_cells(places: DataFrame, max_listed: int = MAX_LISTED) -> DataFrame:
-    """Cells that cover the globe without overlap: level, ix, iy and the listed places.
+    """Cells that cover the globe without overlap: level, ix, iy and the listed places as `near`.
 
-    `places` has city, lat and lon. The result depends on places only and can be stored and used again.
+    `places` has city, lat and lon. The result depends on places only, so it can be stored and used again.
     """
-    places = (
-        places.filter(_on_globe(F.col("lat"), F.col("lon")) & F.col("city").isNotNull())
-        .groupBy("lat", "lon")
-        .agg(F.min("city").alias("city"))
+    places = places.filter(f"city is not null and {_on_globe('lat', 'lon')}").groupBy("lat", "lon").agg(
+        F.min("city").alias("city")
     )
     candidates = _keep_listed(_base_candidates(places))
     for level, finer in zip(LEAF_LEVELS, LEAF_LEVELS[1:]):
-        factor = 1 << (finer - level)
-        cut = (F.col("level") == level) & (F.col("listed") > max_listed)
-        steps = [
-            F.struct(
-                F.lit(finer).alias("level"),
-                (F.col("ix") * factor + dx).alias("ix"),
-                (F.col("iy") * factor + dy).alias("iy"),
+        parts = 1 << (finer - level)
+        cut = f"level = {level} and listed > {max_listed}"
+        candidates = _keep_listed(
+            candidates.selectExpr("*", f"if({cut}, {parts}, 1) as parts")
+            .selectExpr("*", "explode(sequence(0, parts * parts - 1)) as part")
+            .selectExpr(
+                "city", "lat", "lon", "bound",
+                f"if({cut}, {finer}, level) as level",
+                "ix * parts + part % parts as ix",
+                "iy * parts + part div parts as iy",
             )
-            for dy in range(factor)
-            for dx in range(factor)
-        ]
-        whole = F.array(F.struct("level", "ix", "iy"))
-        parts = candidates.withColumn("part", F.explode(F.when(cut, F.array(*steps)).otherwise(whole))).select(
-            "city", "lat", "lon", "bound", "part.*"
         )
-        smallest = _squared_range(*map(F.col, ["level", "ix", "iy", "lat", "lon"]))[0]
-        # The bound of the cell holds for its parts too, so most rows go before the shuffle.
-        candidates = _keep_listed(parts.filter(_within(smallest, F.col("bound"))))
-    return candidates.groupBy("level", "ix", "iy").agg(F.collect_list(F.struct("lat", "lon", "city")).alias("near"))
-
-
-def _cell_id(level: Column, ix: Column, iy: Column) -> Column:
-    return (level.cast("long") * (1 << 24) + iy) * (1 << 24) + ix
+    return candidates.groupBy("level", "ix", "iy").agg(F.expr("collect_list(struct(lat, lon, city)) as near"))
 
 
 def _directory(cells: DataFrame) -> DataFrame:
@@ -143,31 +129,44 @@ def _directory(cells: DataFrame) -> DataFrame:
 
     The grid is fixed, so this has 1,024 rows of 256 small numbers and can be broadcast.
     """
-    grid, base = DIRECTORY_LEVEL, BASE_LEVEL
-    wide = F.pow(F.lit(2), F.greatest(F.lit(grid) - F.col("level"), F.lit(0))).cast("long")
-    narrow = F.pow(F.lit(2), F.greatest(F.col("level") - F.lit(grid), F.lit(0))).cast("long")
-    inner = 1 << (grid - base)
+    inner = 1 << (DIRECTORY_LEVEL - BASE_LEVEL)
     spots = (
-        cells.select(
-            "level",
-            F.floor(F.col("ix") / narrow).alias("gx"),
-            F.floor(F.col("iy") / narrow).alias("gy"),
-            wide.alias("wide"),
-        )
+        cells.selectExpr("level", "ix", "iy", f"shiftleft(1, greatest({DIRECTORY_LEVEL} - level, 0)) as wide",
+                         f"shiftleft(1, greatest(level - {DIRECTORY_LEVEL}, 0)) as narrow")
+        .selectExpr("level", "wide", "ix div narrow * wide as gx", "iy div narrow * wide as gy")
         .distinct()
-        .withColumn("dx", F.explode(F.sequence(F.lit(0).cast("long"), F.col("wide") - 1)))
-        .withColumn("dy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("wide") - 1)))
-        .select(
-            "level",
-            (F.col("gx") * F.col("wide") + F.col("dx")).alias("gx"),
-            (F.col("gy") * F.col("wide") + F.col("dy")).alias("gy"),
+        .selectExpr("*", "explode(sequence(0, wide * wide - 1)) as spot")
+        .selectExpr("level", "gx + spot % wide as gx", "gy + spot div wide as gy")
+    )
+    return (
+        spots.selectExpr(
+            "level", f"gx div {inner} as _bx", f"gy div {inner} as _by", f"gy % {inner} * {inner} + gx % {inner} as spot"
+        )
+        .groupBy("_bx", "_by")
+        .agg(F.expr("sort_array(collect_list(struct(spot, cast(level as tinyint) as level))).level as _levels"))
+    )
+
+
+def _cell_id(level: str, ix: str, iy: str) -> str:
+    return f"(({level} * {1 << 24}L + {iy}) * {1 << 24}L + {ix})"
+
+
+def _with_cell(points: DataFrame, directory: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Add the id of the cell that holds the point, null off the globe."""
+    inner, on_globe = 1 << (DIRECTORY_LEVEL - BASE_LEVEL), _on_globe(lat, lon)
+    spot = f"{_row(lat, DIRECTORY_LEVEL)} % {inner} * {inner} + {_col(lon, DIRECTORY_LEVEL)} % {inner}"
+    cases = " ".join(f"when {l} then {_cell_id(f'{l}', _col(lon, l), _row(lat, l))}" for l in LEAF_LEVELS)
+    return (
+        points.withColumns(
+            {
+                "_bx": F.expr(f"if({on_globe}, {_col(lon, BASE_LEVEL)}, null)"),
+                "_by": F.expr(f"if({on_globe}, {_row(lat, BASE_LEVEL)}, null)"),
+            }
         )
+        .join(F.broadcast(directory), ["_bx", "_by"], "left")
+        .withColumn("_cell", F.expr(f"case _levels[cast({spot} as int)] {cases} end"))
+        .drop("_bx", "_by", "_levels")
     )
-    spot = (F.col("gy") % inner) * inner + F.col("gx") % inner
-    ordered = F.sort_array(F.collect_list(F.struct(spot.alias("spot"), F.col("level").cast("byte").alias("level"))))
-    return spots.groupBy(
-        F.floor(F.col("gx") / inner).alias("_bx"), F.floor(F.col("gy") / inner).alias("_by")
-    ).agg(ordered["level"].alias("_levels"))
 
 
 def add_city_features(
@@ -177,7 +176,7 @@ def add_city_features(
     long_col: str = "shipment_location_long",
     keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the city of the nearest place. `cells` comes from `place_cells`.
+    """Add the city of the nearest place. `cells` comes from `place_cells`; it is read twice, so store it if large.
 
     The city is null where a coordinate is missing or not on the globe. Skew is measured on `keys_from` (default
     `df`), which needs the two coordinate columns.
@@ -186,35 +185,16 @@ def add_city_features(
     if missing:
         raise ValueError(f"missing coordinate columns: {sorted(missing)}")
     directory = _directory(cells)
-    lat, lon = F.col(lat_col), F.col(long_col)
-    inner = 1 << (DIRECTORY_LEVEL - BASE_LEVEL)
-
-    def with_cell(points: DataFrame) -> DataFrame:
-        on_globe = _on_globe(lat, lon)
-        spot = (_row(lat, DIRECTORY_LEVEL) % inner) * inner + _col(lon, DIRECTORY_LEVEL) % inner
-        level = F.col("_levels")[spot.cast("int")]
-        located = points.withColumns(
-            {"_bx": F.when(on_globe, _col(lon, BASE_LEVEL)), "_by": F.when(on_globe, _row(lat, BASE_LEVEL))}
-        ).join(F.broadcast(directory), ["_bx", "_by"], "left")
-        cell = None
-        for leaf in LEAF_LEVELS:
-            this = _cell_id(F.lit(leaf), _col(lon, leaf), _row(lat, leaf))
-            cell = F.when(level == leaf, this) if cell is None else cell.when(level == leaf, this)
-        return located.withColumn("_cell", cell).drop("_bx", "_by", "_levels")
-
     base = (df if keys_from is None else keys_from).select(lat_col, long_col)
-    lists = cells.select(_cell_id(F.col("level"), F.col("ix"), F.col("iy")).alias("_cell"), F.col("near").alias("_near"))
-    joined = lookup(with_cell(df), lists, "_cell", heavy_keys(with_cell(base), "_cell"), "left")
+    heavy = heavy_keys(_with_cell(base, directory, lat_col, long_col), "_cell")
+    lists = cells.selectExpr(f"{_cell_id('level', 'ix', 'iy')} as _cell", "near as _near")
+    dy, dx = f"({lat_col} - p.lat)", f"({long_col} - p.lon)"
+    nearest = f"array_min(transform(_near, p -> struct({dy} * {dy} + {dx} * {dx} as d, p.city as city))).city"
+    located = lookup(_with_cell(df, directory, lat_col, long_col), lists, "_cell", heavy, "left")
+    return located.withColumn("city", F.expr(nearest)).drop("_cell", "_near")
 
-    def distance(place: Column) -> Column:
-        dy, dx = lat - place["lat"], lon - place["lon"]
-        return dy * dy + dx * dx
 
-    nearest = F.array_min(
-        F.transform("_near", lambda place: F.struct(distance(place).alias("d"), place["city"].alias("city")))
-    )
-    return joined.withColumn("city", nearest["city"]).drop("_cell", "_near")
-
-
-def nearest_place(points: DataFrame, places: DataFrame, lat_col: str, long_col: str) -> DataFrame:
+def nearest_place(
+    points: DataFrame, places: DataFrame, lat_col: str = "lat", long_col: str = "lon"
+) -> DataFrame:
     return add_city_features(points, place_cells(places), lat_col, long_col)

@@ -13,15 +13,10 @@ from riskflow.operators.skew import first_per_key, heavy_keys, lookup, repeat_ro
 CUSTOMER_ORDER = ["first_join_date", "age", "gender"]
 
 
-def transaction_order() -> list[Column]:
+def transaction_order(item_hash: Column | None = None) -> list[Column]:
     """Which row stands for a transaction id that occurs more than once: the first in this order."""
-    return [
-        F.col("session_id"),
-        F.col("created_at"),
-        F.col("customer_id"),
-        F.xxhash64("product_metadata"),
-        F.col("total_amount"),
-    ]
+    item_hash = F.xxhash64("product_metadata") if item_hash is None else item_hash
+    return [F.col("session_id"), F.col("created_at"), F.col("customer_id"), item_hash, F.col("total_amount")]
 
 
 def transaction_items(transactions: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from riskflow import constants as C
@@ -30,60 +30,79 @@ def feature_table(
 
     Equal to `feature_table_stepwise`, but the events are read once and transactions are shuffled once per key. Name
     only the needed `columns`, so that the rest (such as the item JSON) is not shuffled. With `unique_ids` the caller
-    states that transaction_id does not repeat, and the step that merges rows of one id is left out.
+    states that transaction_id does not repeat, and the steps that merge rows of one id are left out.
     """
-    quantities = X.item_quantities(F.col("product_metadata"))
-    carried = [c for c in transactions.columns if c in columns or c in ("promo_code", "created_at", "total_amount")]
-    carried = list(dict.fromkeys(["transaction_id", "session_id", "customer_id", *carried]))
-    order = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(T.transaction_order())])
-    sold = (
+    transactions = transactions.filter("transaction_id is not null")
+    heavy_sessions, heavy_customers = (heavy_keys(transactions, key) for key in ("session_id", "customer_id"))
+    heavy_labels = heavy_keys(labels, "transaction_id")
+    sessions = S.session_rollup(events, browsing_events).withColumn("in_session", F.lit(True))
+    profiles = T.one_profile_per_customer(customers, as_of).withColumn("known_customer", F.lit(True))
+    how = "inner" if unique_ids else "left"
+
+    def joined(part: DataFrame) -> DataFrame:
+        rows = lookup(_sold(part, columns), sessions, "session_id", heavy_sessions, how, spread_by="transaction_id")
+        rows = lookup(rows, profiles, "customer_id", heavy_customers, how, spread_by="transaction_id")
+        return T.spread_for_labels(rows, heavy_labels)
+
+    def finished(rows: DataFrame) -> DataFrame:
+        counts = [F.col(level).cast("int").alias(count) for level, count in zip(S.LEVELS, S.COUNTS)]
+        rows = rows.filter("items > 0 and listed > 0").withColumnRenamed("pieces", "purchases_count")
+        rows = S.add_event_level_ratios(S.with_session_clock(rows.select("*", *counts)))
+        return T.add_account_and_promo_features(T.attach_labels(rows, labels, heavy_labels), as_of).select(*columns)
+
+    if unique_ids:
+        return finished(joined(transactions))
+    # An id with very many rows is merged by aggregation, which needs no task that holds all its rows. The window is
+    # cheaper for the rest. Without such ids the second part is empty and costs nothing.
+    heavy_ids = F.broadcast(heavy_keys(transactions, "transaction_id"))
+    usual = transactions.join(heavy_ids, "transaction_id", "left_anti")
+    repeated = transactions.join(heavy_ids, "transaction_id", "left_semi")
+    return finished(_merge_in_window(joined(usual))).unionByName(finished(_merge_by_aggregation(joined(repeated))))
+
+
+def _sold(transactions: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The transaction columns that are carried on, with the number of items and pieces read from the JSON."""
+    needed = {"transaction_id", "session_id", "customer_id", "created_at", "total_amount", "promo_code", *columns}
+    return (
         T.add_geolocation(transactions)
-        .filter("transaction_id is not null")
+        .withColumn("quantities", X.item_quantities(F.col("product_metadata")))
         .select(
-            *carried, "geolocation", quantities.alias("quantities"), *([] if unique_ids else [order.alias("order")])
+            *[c for c in transactions.columns if c in needed],
+            "geolocation",
+            F.xxhash64("product_metadata").alias("item_hash"),
+            F.greatest(F.size("quantities"), F.lit(0)).alias("items"),
+            X.array_total(F.col("quantities")).alias("pieces"),
         )
-        .withColumn("items", F.greatest(F.size("quantities"), F.lit(0)))
-        .withColumn("pieces", X.array_total(F.col("quantities")))
-        .drop("quantities")
     )
-    how = "inner" if unique_ids else "left"
-    if unique_ids:
-        sold = sold.filter("items > 0")
-    sessions = S.session_rollup(events, browsing_events).withColumn("in_session", F.lit(True))
-    if unique_ids:
-        sessions = sessions.filter("listed > 0")
-    profiles = T.one_profile_per_customer(customers, as_of).withColumn("known_customer", F.lit(True))
-    heavy_labels = heavy_keys(labels, "transaction_id")
 
-    rows = lookup(
-        sold, sessions, "session_id", heavy_keys(transactions, "session_id"), how, spread_by="transaction_id"
-    )
-    rows = lookup(
-        rows, profiles, "customer_id", heavy_keys(transactions, "customer_id"), how, spread_by="transaction_id"
-    )
-    rows = T.spread_for_labels(rows, heavy_labels)
-    if not unique_ids:
-        rows = _merge_ids(rows)
 
-    counts = [F.col(level).cast("int").alias(count) for level, count in zip(S.LEVELS, S.COUNTS)]
-    rows = rows.withColumnRenamed("pieces", "purchases_count").select("*", *counts)
-    rows = T.attach_labels(S.add_event_level_ratios(S.with_session_clock(rows)), labels, heavy_labels)
-    return T.add_account_and_promo_features(rows, as_of).select(*columns)
+ID_KEYS = ["transaction_id", "label_part"]
+SUMMED = [*S.LEVELS, "pieces", "items"]
+COMPLETE = "in_session and known_customer"
+
 
+def _merge_in_window(rows: DataFrame) -> DataFrame:
+    """One row per id: events and pieces summed over all its rows, the rest from its first complete row."""
+    order = [F.expr(f"if({COMPLETE}, 0, 1)"), *T.transaction_order(F.col("item_hash"))]
+    ranked = Window.partitionBy(*ID_KEYS).orderBy(*order)
+    whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return (
+        rows.withColumns({"rank": F.row_number().over(ranked), **{c: F.sum(c).over(whole) for c in SUMMED}})
+        .filter(f"rank = 1 and {COMPLETE}")
+        .drop("rank")
+    )
 
-def _merge_ids(rows: DataFrame) -> DataFrame:
-    """One row per id: events and pieces summed over all its rows, the rest from its first complete row.
 
-    Rows of one id are merged before the shuffle as well as after it.
-    """
-    keys, summed = ["transaction_id", "label_part"], [*S.LEVELS, "pieces", "items"]
-    kept = [c for c in rows.columns if c not in [*keys, *summed, "order", "in_session", "known_customer"]]
-    complete = F.col("in_session") & F.col("known_customer")
-    merged = rows.groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in summed],
-        F.min_by(F.when(complete, F.struct(*kept)), F.when(complete, F.col("order"))).alias("kept"),
+def _merge_by_aggregation(rows: DataFrame) -> DataFrame:
+    """The same as `_merge_in_window`, with rows of one id merged before the shuffle as well as after it."""
+    kept = [c for c in rows.columns if c not in [*ID_KEYS, *SUMMED]]
+    complete = F.expr(COMPLETE)
+    order = F.struct(*[c.alias(f"order_{i}") for i, c in enumerate(T.transaction_order(F.col("item_hash")))])
+    merged = rows.groupBy(*ID_KEYS).agg(
+        *[F.sum(c).alias(c) for c in SUMMED],
+        F.min_by(F.when(complete, F.struct(*kept)), F.when(complete, order)).alias("kept"),
     )
-    return merged.filter("items > 0 and kept.listed > 0").select(*keys, *summed, "kept.*")
+    return merged.filter("kept is not null").select(*ID_KEYS, *SUMMED, "kept.*")
 
 
 def feature_table_stepwise(

@@ -33,7 +33,9 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return input_table(self.spark, self.sf_dir, name)
+        table = input_table(self.spark, self.sf_dir, name)
+        setattr(self, name, table)
+        return table
 
     def features(self, *columns: str) -> DataFrame:
         return feature_table(
@@ -50,7 +52,7 @@ class Inputs:
         return self.features(*columns, "purchases_count", "is_fraud").withColumn("prediction", rule)
 
     def with_city(self, df: DataFrame) -> DataFrame:
-        return geo.add_city_features(df, geo.place_cells(self.places), keys_from=self.transactions)
+        return geo.add_city_features(df, stored(geo.place_cells(self.places)), keys_from=self.transactions)
 
 
 def query(oracle: str | None = None, inputs: str = ""):
