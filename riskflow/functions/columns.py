@@ -68,9 +68,8 @@ def item_quantities(product_metadata: Column) -> Column:
 
 def array_total(numbers: Column) -> Column:
     """Sum of an int array as bigint, null when it holds no value (as SQL sum)."""
-    known = F.filter(numbers, lambda x: x.isNotNull())
-    return F.when(
-        F.size(known) > 0, F.aggregate(known, F.lit(0).cast("long"), lambda total, x: total + x.cast("long"))
+    return F.aggregate(
+        numbers, F.lit(None).cast("long"), lambda total, x: F.coalesce(total + x, total, x.cast("long"))
     )
 
 

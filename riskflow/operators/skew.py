@@ -14,12 +14,13 @@ NULL_KEY_SALTS = 1_024
 COPIES_PER_CHUNK = 65_536
 
 
-def heavy_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Keys with more than `rows_per_task` rows and the number of parts to split each into.
+def heavy_keys(df: DataFrame, key: str, rows_per_task: int | None = None) -> DataFrame:
+    """Keys with more than `rows_per_task` (ROWS_PER_TASK) rows and the number of parts to split each into.
 
     A frequent-items sketch is merged from per-task sketches, so nothing but sketches is shuffled, and the result
     has at most MAX_HEAVY_KEYS rows. It only steers the split: a key it misses is joined as usual.
     """
+    rows_per_task = rows_per_task or ROWS_PER_TASK
     top = df.select(F.col(key).alias("key")).filter("key is not null").agg(
         F.expr(f"approx_top_k(key, {MAX_HEAVY_KEYS}, {TRACKED_KEYS})").alias("top")
     )
