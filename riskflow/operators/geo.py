@@ -1,9 +1,9 @@
 """Nearest known place of a point, exact, by Euclidean distance in degrees; ties go to the first city name.
 
 Points are not paired with places. The globe is cut into cells, finer where places are dense, and for each cell the
-few places are listed that are nearest to some point in it: place p is listed for cell c only if its smallest distance
-to c is not above the smallest of all places' largest distances to c. A point then reads the list of its own cell,
-one equi-join, and takes the nearest of the list.
+few places are listed that can be nearest to some point in it. Place p is left out of cell c if it is farther off
+everywhere than some place must be, or if one other place is nearer to all four corners of c and so to all of c. A
+point then reads the list of its own cell, one equi-join, and takes the nearest of the list.
 
 Work on places grows with the number of places only, and the list per cell does not depend on how many points it gets.
 """
@@ -40,20 +40,24 @@ def _within(smallest: str, bound: str) -> str:
     return f"{smallest} <= {bound} * {1 + SLACK}D + {SLACK}D"
 
 
-def _with_range(rows: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """Add the squares of the smallest and largest distance from a place to the points of its cell."""
+def _with_distances(rows: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """Add squared distances from a place to the corners, the middle and the nearest point of its cell."""
     return (
         rows.selectExpr("*", "180D / shiftleft(1, level) as height", "360D / shiftleft(1, level) as width")
         .selectExpr("*", f"iy * height - 90D - {lat} as south", f"ix * width - 180D - {lon} as west")
+        .selectExpr("*", "south + height as north", "west + width as east")
         .selectExpr(
             "*",
-            "greatest(south, - south - height, 0D) as dy",
-            "greatest(west, - west - width, 0D) as dx",
-            "greatest(abs(south), abs(south + height)) as fy",
-            "greatest(abs(west), abs(west + width)) as fx",
+            "south * south + west * west as sw",
+            "south * south + east * east as se",
+            "north * north + west * west as nw",
+            "north * north + east * east as ne",
+            "(south + north) * (south + north) / 4 + (west + east) * (west + east) / 4 as middle",
+            "greatest(south, - north, 0D) as dy",
+            "greatest(west, - east, 0D) as dx",
         )
-        .selectExpr("*", "dy * dy + dx * dx as smallest", "fy * fy + fx * fx as largest")
-        .drop("height", "width", "south", "west", "dy", "dx", "fy", "fx")
+        .selectExpr("*", "dy * dy + dx * dx as smallest", "greatest(sw, se, nw, ne) as largest")
+        .drop("height", "width", "south", "west", "north", "east", "dy", "dx")
     )
 
 
@@ -69,7 +73,7 @@ def _base_candidates(places: DataFrame) -> DataFrame:
         .selectExpr("*", f"{BASE_LEVEL} as level", f"cell % {side} as ix", f"cell div {side} as iy")
     )
     near_cells = (
-        _with_range(cells)
+        _with_distances(cells)
         .selectExpr(
             "px", "py", "ix", "iy",
             "min(largest) over (partition by ix, iy) as bound",
@@ -85,17 +89,30 @@ def _base_candidates(places: DataFrame) -> DataFrame:
     return listed.selectExpr("city", "lat", "lon", f"{BASE_LEVEL} as level", "inline(cells)")
 
 
+CORNERS = ["sw", "se", "nw", "ne"]
+RIVALS = [*CORNERS, "middle"]
+
+
 def _keep_listed(candidates: DataFrame) -> DataFrame:
-    """Drop places that cannot be nearest anywhere in their cell, and count the rest."""
+    """Drop places that cannot be nearest anywhere in their cell, and count the rest.
+
+    The rivals of a place are the nearest places to each corner and to the middle of the cell.
+    """
+    cell = "over (partition by level, ix, iy)"
     # The bound of the cell that was cut holds for its parts too, so most rows go before the shuffle.
-    ranged = _with_range(candidates).filter(_within("smallest", "bound")).drop("bound")
+    near = _with_distances(candidates).filter(_within("smallest", "bound")).drop("bound")
+    beaten = [
+        " and ".join(f"not ({_within(corner, f'{rival}_rival.{corner}')})" for corner in CORNERS) for rival in RIVALS
+    ]
     return (
-        ranged.selectExpr("*", "min(largest) over (partition by level, ix, iy) as bound")
-        .filter(_within("smallest", "bound"))
-        .selectExpr(
-            "city", "lat", "lon", "level", "ix", "iy", "bound",
-            "count(1) over (partition by level, ix, iy) as listed",
+        near.selectExpr(
+            "*",
+            f"min(largest) {cell} as bound",
+            *[f"min(struct({rival} as d, {', '.join(CORNERS)})) {cell} as {rival}_rival" for rival in RIVALS],
         )
+        .filter(_within("smallest", "bound"))
+        .filter(f"not ({' or '.join(f'({b})' for b in beaten)})")
+        .selectExpr("city", "lat", "lon", "level", "ix", "iy", "bound", f"count(1) {cell} as listed")
     )
 
 
