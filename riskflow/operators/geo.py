@@ -207,7 +207,7 @@ def add_city_features(
     lists = cells.selectExpr(f"{_cell_id('level', 'ix', 'iy')} as _cell", "near as _near")
     dy, dx = f"({lat_col} - p.lat)", f"({long_col} - p.lon)"
     nearest = f"array_min(transform(_near, p -> struct({dy} * {dy} + {dx} * {dx} as d, p.city as city))).city"
-    located = lookup(_with_cell(df, directory, lat_col, long_col), lists, "_cell", heavy, "left")
+    located = lookup(_with_cell(df, directory, lat_col, long_col), lists, "_cell", heavy["_cell"], "left")
     return located.withColumn("city", F.expr(nearest)).drop("_cell", "_near")
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskflow.constants import BROWSING_EVENTS
 from riskflow.functions import columns as X
-from riskflow.operators.skew import COPIES_PER_CHUNK, heavy_keys, lookup
+from riskflow.operators.skew import COPIES_PER_CHUNK, Heavy, heavy_keys, lookup
 
 LEVELS = ["L1", "L2", "L3"]
 COUNTS = ["L1_count", "L2_count", "L3_count"]
@@ -26,7 +26,7 @@ def with_event_level(events: DataFrame) -> DataFrame:
     return events.withColumn("event_level", X.event_level(F.col("event_type")))
 
 
-def session_event_join(transactions: DataFrame, events: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
+def session_event_join(transactions: DataFrame, events: DataFrame, heavy: Heavy | None = None) -> DataFrame:
     """Transactions with the events of their session, one row per event type and its number of events.
 
     Pairing every transaction with every single event grows with the square of a session; the counts hold the same
@@ -39,8 +39,8 @@ def session_event_join(transactions: DataFrame, events: DataFrame, heavy: DataFr
         .groupBy("session_id")
         .agg(F.collect_list(F.struct("event_type", "events")).alias("types"))
     )
-    heavy = heavy_keys(transactions, "session_id") if heavy is None else heavy
-    joined = lookup(transactions, by_type, "session_id", heavy, spread_by="transaction_id")
+    heavy = heavy or heavy_keys(transactions, "session_id")
+    joined = lookup(transactions, by_type, "session_id", heavy["session_id"], spread_by="transaction_id")
     return joined.select("*", F.inline("types")).drop("types")
 
 
@@ -53,31 +53,30 @@ def session_level_counts(events: DataFrame) -> DataFrame:
     )
 
 
-def event_level_pivot(transactions: DataFrame, events: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
+def event_level_pivot(transactions: DataFrame, events: DataFrame, heavy: Heavy | None = None) -> DataFrame:
     """Number of events of each level per transaction id, for ids whose session has events."""
-    heavy = heavy_keys(transactions, "session_id") if heavy is None else heavy
+    heavy = heavy or heavy_keys(transactions, "session_id")
     matched = lookup(
         transactions.select("transaction_id", "session_id"),
         session_level_counts(events),
         "session_id",
-        heavy,
+        heavy["session_id"],
         spread_by="transaction_id",
     )
     return matched.groupBy("transaction_id").agg(*[F.sum(name).alias(name) for name in LEVELS])
 
 
-def add_event_level_features(
-    transactions: DataFrame, events: DataFrame, keys_from: DataFrame | None = None
-) -> DataFrame:
+def add_event_level_features(transactions: DataFrame, events: DataFrame, heavy: Heavy | None = None) -> DataFrame:
     """Add L1_count, L2_count and L3_count; null where the session of the transaction has no events.
 
-    Skew is measured on `keys_from` (default: `transactions`); pass a stored table when `transactions` is derived.
+    `heavy` are the heavy keys, measured on `transactions` if not given; measure them on a stored table when
+    `transactions` is derived.
     """
-    base = transactions if keys_from is None else keys_from
-    counts = event_level_pivot(transactions, events, heavy_keys(base, "session_id")).select(
+    heavy = heavy or heavy_keys(transactions, "session_id", "transaction_id")
+    counts = event_level_pivot(transactions, events, heavy).select(
         "transaction_id", *[F.col(level).cast("int").alias(count) for level, count in zip(LEVELS, COUNTS)]
     )
-    return lookup(transactions, counts, "transaction_id", heavy_keys(base, "transaction_id"), "left")
+    return lookup(transactions, counts, "transaction_id", heavy["transaction_id"], "left")
 
 
 def add_event_level_ratios(features: DataFrame) -> DataFrame:
@@ -178,15 +177,15 @@ def calculate_browsing_time(
     features: DataFrame,
     events: DataFrame,
     browsing_events: Sequence[str] = BROWSING_EVENTS,
-    keys_from: DataFrame | None = None,
+    heavy: Heavy | None = None,
 ) -> DataFrame:
     """Add total_browsing_time, the seconds before each browsing event of the session since the event before it.
 
     Rows whose session has no browsing event are dropped.
     """
-    heavy = heavy_keys(features if keys_from is None else keys_from, "session_id")
+    heavy = heavy or heavy_keys(features, "session_id")
     times = session_browsing_time(events, browsing_events)
-    return lookup(features, times, "session_id", heavy, spread_by="transaction_id")
+    return lookup(features, times, "session_id", heavy["session_id"], spread_by="transaction_id")
 
 
 def event_gaps(events: DataFrame, browsing_events: Sequence[str] = BROWSING_EVENTS) -> DataFrame:

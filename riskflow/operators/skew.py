@@ -2,36 +2,45 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 # A key with more rows than this is split over several tasks.
 ROWS_PER_TASK = 1_000_000
-# Number of heavy keys looked for. It bounds the broadcast below; a key outside the first thousand holds less
-# than a thousandth of the rows.
+# Number of heavy keys looked for. It bounds what the driver sees and what is broadcast; a key outside the first
+# thousand holds less than a thousandth of the rows.
 MAX_HEAVY_KEYS = 1_000
 TRACKED_KEYS = 20_000
-NULL_KEY_SALTS = 1_024
+MAX_PARTS = 100_000
 COPIES_PER_CHUNK = 65_536
 
+# For each key column: its heavy values, None among them, and the number of parts to split each into.
+Heavy = Mapping[str, Mapping[object, int]]
+
 
-def heavy_keys(df: DataFrame, key: str, rows_per_task: int | None = None) -> DataFrame:
-    """Keys with more than `rows_per_task` (ROWS_PER_TASK) rows and the number of parts to split each into.
+def heavy_keys(df: DataFrame, *keys: str, rows_per_task: int | None = None) -> Heavy:
+    """Values of each key column with more than `rows_per_task` (ROWS_PER_TASK) rows.
 
-    A frequent-items sketch is merged from per-task sketches, so nothing but sketches is shuffled, and the result
-    has at most MAX_HEAVY_KEYS rows. It only steers the split: a key it misses is joined as usual.
+    One job over the key columns. Each task keeps a frequent-items sketch, only sketches are shuffled, and at most
+    MAX_HEAVY_KEYS values per column come back. The result steers how joins are split, not what they return.
     """
-    rows_per_task = rows_per_task or ROWS_PER_TASK
-    top = df.select(F.col(key).alias("key")).filter("key is not null").agg(
-        F.expr(f"approx_top_k(key, {MAX_HEAVY_KEYS}, {TRACKED_KEYS})").alias("top")
-    )
-    return (
-        top.select(F.explode("top").alias("t"))
-        .select(
-            F.col("t.item").alias(key),
-            F.least(F.ceil(F.col("t.count") / rows_per_task), F.lit(100_000)).cast("int").alias("parts"),
-        )
-        .filter("parts > 1")
+    limit = rows_per_task or ROWS_PER_TASK
+    top = df.select(*keys).agg(
+        *[F.expr(f"approx_top_k(`{key}`, {MAX_HEAVY_KEYS}, {TRACKED_KEYS})").alias(key) for key in keys]
     )
+    counts = top.first()
+    return {
+        key: {r["item"]: min(-(-r["count"] // limit), MAX_PARTS) for r in counts[key] or [] if r["count"] > limit}
+        for key in keys
+    }
+
+
+def _parts_table(df: DataFrame, key: str, heavy: Mapping[object, int], name: str) -> DataFrame:
+    schema = StructType([df.schema[key]]).add(name, "integer")
+    rows = [(value, parts) for value, parts in heavy.items() if value is not None]
+    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
 
 
 def task_salt(parts: Column | int, *spread_by: str) -> Column:
@@ -40,30 +49,47 @@ def task_salt(parts: Column | int, *spread_by: str) -> Column:
     return F.pmod(F.xxhash64(F.spark_partition_id(), *spread_by), parts.cast("long")).cast("int")
 
 
+def in_parts(df: DataFrame, key: str, heavy: Mapping[object, int], name: str) -> DataFrame:
+    """Repeat each row once per part of its key, numbered in column `name`."""
+    return (
+        df.join(_parts_table(df, key, heavy, "_parts"), key, "left")
+        .withColumn(name, F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
+        .drop("_parts")
+    )
+
+
+def to_part(
+    df: DataFrame, key: str, heavy: Mapping[object, int], name: str, spread_by: str | None = None
+) -> DataFrame:
+    """Give each row one part of its key, in column `name`."""
+    spread = [spread_by] if spread_by else []
+    nulls = heavy.get(None, 1)
+    salt = F.when(F.col("_parts").isNotNull(), task_salt(F.coalesce("_parts", F.lit(1)), *spread)).otherwise(0)
+    if nulls > 1:
+        salt = F.when(F.col(key).isNull(), task_salt(nulls, *spread)).otherwise(salt)
+    return df.join(_parts_table(df, key, heavy, "_parts"), key, "left").withColumn(name, salt).drop("_parts")
+
+
 def lookup(
-    left: DataFrame, right: DataFrame, key: str, heavy: DataFrame, how: str = "inner", spread_by: str | None = None
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    heavy: Mapping[object, int],
+    how: str = "inner",
+    spread_by: str | None = None,
 ) -> DataFrame:
     """Join many rows per key to a side with one row per key; `key` comes first in the result.
 
-    Rows of a heavy key get one of several salts, and the single matching row is repeated once per salt. Rows
-    without a key match nothing and are spread out in a left join.
+    Without heavy keys this is a plain join. Else the rows of a heavy key are split into parts, and its single
+    matching row is repeated once per part. Rows without a key match nothing and are spread out in a left join.
     """
-    heavy = F.broadcast(heavy)
-    spread = [spread_by] if spread_by else []
-    if how == "inner":
-        left = left.filter(F.col(key).isNotNull())
-    salted = left.join(heavy, key, "left").withColumn(
-        "_salt",
-        F.when(F.col(key).isNull(), task_salt(NULL_KEY_SALTS, *spread))
-        .when(F.col("parts").isNull(), 0)
-        .otherwise(task_salt(F.coalesce("parts", F.lit(1)), *spread)),
-    )
-    repeated = (
-        right.filter(F.col(key).isNotNull())
-        .join(heavy, key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+    if not heavy:
+        return left.join(right, key, how)
+    return (
+        to_part(left, key, heavy, "_part", spread_by)
+        .join(in_parts(right, key, heavy, "_part"), [key, "_part"], how)
+        .drop("_part")
     )
-    return salted.drop("parts").join(repeated.drop("parts"), [key, "_salt"], how).drop("_salt")
 
 
 def repeat_rows(df: DataFrame, copies: str, number: str) -> DataFrame:

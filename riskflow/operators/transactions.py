@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskflow.functions import columns as X
-from riskflow.operators.skew import first_per_key, heavy_keys, lookup, repeat_rows, task_salt
+from riskflow.operators.skew import Heavy, first_per_key, heavy_keys, in_parts, lookup, repeat_rows, to_part
 
 # Which row stands for a customer id that occurs more than once.
 CUSTOMER_ORDER = ["first_join_date", "age", "gender"]
@@ -35,12 +35,10 @@ def purchases(transactions: DataFrame) -> DataFrame:
     )
 
 
-def add_purchases_count(
-    features: DataFrame, transactions: DataFrame, keys_from: DataFrame | None = None
-) -> DataFrame:
+def add_purchases_count(features: DataFrame, transactions: DataFrame, heavy: Heavy | None = None) -> DataFrame:
     """Add purchases_count; rows without a readable item are dropped."""
-    heavy = heavy_keys(features if keys_from is None else keys_from, "transaction_id")
-    return lookup(features, purchases(transactions), "transaction_id", heavy)
+    heavy = heavy or heavy_keys(features, "transaction_id")
+    return lookup(features, purchases(transactions), "transaction_id", heavy["transaction_id"])
 
 
 def add_geolocation(features: DataFrame) -> DataFrame:
@@ -76,51 +74,49 @@ def enrich_feature_data(
     session_times: DataFrame,
     customers: DataFrame,
     as_of: dt.date | None = None,
-    keys_from: DataFrame | None = None,
+    heavy: Heavy | None = None,
 ) -> DataFrame:
     """Add geolocation, session times and the customer profile, and keep one row per transaction id.
 
     Rows without a session in `session_times` or without a customer are dropped.
     """
-    base = features if keys_from is None else keys_from
-    timed = lookup(
-        add_geolocation(features), session_times, "session_id", heavy_keys(base, "session_id"),
-        spread_by="transaction_id",
-    )
-    profiled = lookup(
-        timed, one_profile_per_customer(customers, as_of), "customer_id", heavy_keys(base, "customer_id"),
-        spread_by="transaction_id",
-    )
-    return dedup_transactions(profiled)
+    heavy = heavy or heavy_keys(features, "session_id", "customer_id")
+    profiles = one_profile_per_customer(customers, as_of)
+    rows = add_geolocation(features)
+    rows = lookup(rows, session_times, "session_id", heavy["session_id"], spread_by="transaction_id")
+    rows = lookup(rows, profiles, "customer_id", heavy["customer_id"], spread_by="transaction_id")
+    return dedup_transactions(rows)
 
 
-def spread_for_labels(features: DataFrame, heavy_labels: DataFrame) -> DataFrame:
+def spread_for_labels(features: DataFrame, heavy_labels: Heavy) -> DataFrame:
     """Repeat a row once per part of a heavy label id, so that its copies are made in several tasks."""
-    parts = F.broadcast(heavy_labels.withColumnRenamed("parts", "label_parts"))
-    return features.join(parts, "transaction_id", "left").withColumn(
-        "label_part", F.explode(F.sequence(F.lit(0), F.coalesce("label_parts", F.lit(1)) - 1))
-    )
+    heavy = heavy_labels["transaction_id"]
+    return in_parts(features, "transaction_id", heavy, "label_part") if heavy else features
 
 
-def attach_labels(spread: DataFrame, labels: DataFrame, heavy_labels: DataFrame) -> DataFrame:
+def label_keys(heavy_labels: Heavy) -> list[str]:
+    return ["transaction_id", "label_part"] if heavy_labels["transaction_id"] else ["transaction_id"]
+
+
+def attach_labels(spread: DataFrame, labels: DataFrame, heavy_labels: Heavy) -> DataFrame:
     """Left join of labels to rows from `spread_for_labels`, as counts per id that are then repeated as rows."""
-    counted = (
-        labels.filter("transaction_id is not null")
-        .join(F.broadcast(heavy_labels), "transaction_id", "left")
-        .withColumn("label_part", F.when(F.col("parts").isNull(), 0).otherwise(task_salt(F.coalesce("parts", F.lit(1)))))
-        .groupBy("transaction_id", "label_part")
-        .agg(F.count(F.lit(1)).alias("_labels"), F.count_if(F.col("is_fraud") == "true").alias("_frauds"))
-    )
-    joined = (
-        spread.join(counted, ["transaction_id", "label_part"], "left")
-        # A part that got no label is not an unlabelled row: the id has labels in other parts.
-        .filter("label_parts is null or _labels is not null")
-        .withColumn("_labels", F.coalesce("_labels", F.lit(1)))
+    heavy, keys = heavy_labels["transaction_id"], label_keys(heavy_labels)
+    labels = labels.filter("transaction_id is not null")
+    if heavy:
+        labels = to_part(labels, "transaction_id", heavy, "label_part")
+    counted = labels.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_labels"), F.count_if(F.col("is_fraud") == "true").alias("_frauds")
     )
+    rows = spread.join(counted, keys, "left")
+    if heavy:
+        # A later part that got no label is not an unlabelled row: the id has labels in other parts. The first part
+        # of an id that is not heavy always stays.
+        known = list({i for i in heavy if i is not None})
+        rows = rows.filter(F.col("_labels").isNotNull() | ~F.coalesce(F.col("transaction_id").isin(known), F.lit(False)))
     return (
-        repeat_rows(joined, "_labels", "_number")
+        repeat_rows(rows.withColumn("_labels", F.coalesce("_labels", F.lit(1))), "_labels", "_number")
         .withColumn("is_fraud", F.when(F.col("_number") <= F.col("_frauds"), 1).otherwise(0))
-        .drop("label_part", "label_parts", "_labels", "_frauds", "_number")
+        .drop("label_part", "_labels", "_frauds", "_number")
     )
 
 

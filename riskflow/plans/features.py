@@ -33,15 +33,17 @@ def feature_table(
     states that transaction_id does not repeat, and the steps that merge rows of one id are left out.
     """
     transactions = transactions.filter("transaction_id is not null")
-    heavy_sessions, heavy_customers = (heavy_keys(transactions, key) for key in ("session_id", "customer_id"))
+    heavy = heavy_keys(transactions, "session_id", "customer_id", *([] if unique_ids else ["transaction_id"]))
     heavy_labels = heavy_keys(labels, "transaction_id")
+    id_keys = T.label_keys(heavy_labels)
     sessions = S.session_rollup(events, browsing_events).withColumn("in_session", F.lit(True))
     profiles = T.one_profile_per_customer(customers, as_of).withColumn("known_customer", F.lit(True))
     how = "inner" if unique_ids else "left"
 
     def joined(part: DataFrame) -> DataFrame:
-        rows = lookup(_sold(part, columns), sessions, "session_id", heavy_sessions, how, spread_by="transaction_id")
-        rows = lookup(rows, profiles, "customer_id", heavy_customers, how, spread_by="transaction_id")
+        rows = _sold(part, columns)
+        rows = lookup(rows, sessions, "session_id", heavy["session_id"], how, spread_by="transaction_id")
+        rows = lookup(rows, profiles, "customer_id", heavy["customer_id"], how, spread_by="transaction_id")
         return T.spread_for_labels(rows, heavy_labels)
 
     def finished(rows: DataFrame) -> DataFrame:
@@ -52,12 +54,14 @@ def feature_table(
 
     if unique_ids:
         return finished(joined(transactions))
+    heavy_ids = list(heavy["transaction_id"])
+    if not heavy_ids:
+        return finished(_merge_in_window(joined(transactions), id_keys))
     # An id with very many rows is merged by aggregation, which needs no task that holds all its rows. The window is
-    # cheaper for the rest. Without such ids the second part is empty and costs nothing.
-    heavy_ids = F.broadcast(heavy_keys(transactions, "transaction_id"))
-    usual = transactions.join(heavy_ids, "transaction_id", "left_anti")
-    repeated = transactions.join(heavy_ids, "transaction_id", "left_semi")
-    return finished(_merge_in_window(joined(usual))).unionByName(finished(_merge_by_aggregation(joined(repeated))))
+    # cheaper for the rest.
+    is_heavy = F.col("transaction_id").isin(heavy_ids)
+    usual = finished(_merge_in_window(joined(transactions.filter(~is_heavy)), id_keys))
+    return usual.unionByName(finished(_merge_by_aggregation(joined(transactions.filter(is_heavy)), id_keys)))
 
 
 def _sold(transactions: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -76,15 +80,14 @@ def _sold(transactions: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-ID_KEYS = ["transaction_id", "label_part"]
 SUMMED = [*S.LEVELS, "pieces", "items"]
 COMPLETE = "in_session and known_customer"
 
 
-def _merge_in_window(rows: DataFrame) -> DataFrame:
+def _merge_in_window(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per id: events and pieces summed over all its rows, the rest from its first complete row."""
     order = [F.expr(f"if({COMPLETE}, 0, 1)"), *T.transaction_order(F.col("item_hash"))]
-    ranked = Window.partitionBy(*ID_KEYS).orderBy(*order)
+    ranked = Window.partitionBy(*keys).orderBy(*order)
     whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
         rows.withColumns({"rank": F.row_number().over(ranked), **{c: F.sum(c).over(whole) for c in SUMMED}})
@@ -93,16 +96,16 @@ def _merge_in_window(rows: DataFrame) -> DataFrame:
     )
 
 
-def _merge_by_aggregation(rows: DataFrame) -> DataFrame:
+def _merge_by_aggregation(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same as `_merge_in_window`, with rows of one id merged before the shuffle as well as after it."""
-    kept = [c for c in rows.columns if c not in [*ID_KEYS, *SUMMED]]
+    kept = [c for c in rows.columns if c not in [*keys, *SUMMED]]
     complete = F.expr(COMPLETE)
     order = F.struct(*[c.alias(f"order_{i}") for i, c in enumerate(T.transaction_order(F.col("item_hash")))])
-    merged = rows.groupBy(*ID_KEYS).agg(
+    merged = rows.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in SUMMED],
         F.min_by(F.when(complete, F.struct(*kept)), F.when(complete, order)).alias("kept"),
     )
-    return merged.filter("kept is not null").select(*ID_KEYS, *SUMMED, "kept.*")
+    return merged.filter("kept is not null").select(*keys, *SUMMED, "kept.*")
 
 
 def feature_table_stepwise(
@@ -114,11 +117,12 @@ def feature_table_stepwise(
     browsing_events: Sequence[str] = C.BROWSING_EVENTS,
 ) -> DataFrame:
     """The feature table as a chain of the single operators. It defines the result; `feature_table` is faster."""
-    rows = S.add_event_level_ratios(S.add_event_level_features(transactions, events))
-    rows = T.enrich_feature_data(rows, S.calculate_session_times(events), customers, as_of, keys_from=transactions)
-    rows = T.add_purchases_count(rows, transactions, keys_from=transactions)
+    heavy = heavy_keys(transactions, "session_id", "customer_id", "transaction_id")
+    rows = S.add_event_level_ratios(S.add_event_level_features(transactions, events, heavy))
+    rows = T.enrich_feature_data(rows, S.calculate_session_times(events), customers, as_of, heavy)
+    rows = T.add_purchases_count(rows, transactions, heavy)
     rows = T.add_account_and_promo_features(T.add_fraud_labels(rows, labels), as_of)
-    rows = S.calculate_browsing_time(rows, events, browsing_events, keys_from=transactions)
+    rows = S.calculate_browsing_time(rows, events, browsing_events, heavy)
     return rows.select(*C.FEATURE_COLUMNS)
 
 

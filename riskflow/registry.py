@@ -340,9 +340,8 @@ def fraud_labels(t: Inputs) -> DataFrame:
 )
 def account_promo_features(t: Inputs) -> DataFrame:
     profiles = T.one_profile_per_customer(t.customer, AS_OF)
-    rows = lookup(
-        t.transactions, profiles, "customer_id", heavy_keys(t.transactions, "customer_id"), spread_by="transaction_id"
-    )
+    heavy = heavy_keys(t.transactions, "customer_id")["customer_id"]
+    rows = lookup(t.transactions, profiles, "customer_id", heavy, spread_by="transaction_id")
     return T.add_account_and_promo_features(rows, AS_OF).select(
         "transaction_id", "account_age", "age_bin", "promo_code_used"
     )
@@ -511,7 +510,7 @@ def train_test_split(t: Inputs) -> DataFrame:
 
 
 def assembled(t: Inputs) -> DataFrame:
-    rows = t.model_rows()
+    rows = stored(t.model_rows())
     return Pipeline(stages=ml.feature_stages()).fit(rows).transform(rows)
 
 
@@ -571,8 +570,8 @@ def rf_train_score(t: Inputs) -> DataFrame:
 
 @query()
 def score_transactions(t: Inputs) -> DataFrame:
-    rows = t.model_rows()
-    sample = stored(sampling.balanced_sample(rows, key="transaction_id"))
+    rows = stored(t.model_rows())
+    sample = sampling.balanced_sample(rows, key="transaction_id")
     train, _ = sampling.split(sample, key="transaction_id")
     model = ml.create_ml_pipelines()["gbt_pipeline"].fit(train)
     return model.transform(rows).select(

@@ -180,12 +180,15 @@ def test_heavy_sessions_are_split_and_give_the_same_rows(spark, small_tasks):
         "transaction_id string, session_id string",
     ).repartition(6)
     events = events_df(spark, random_events(6)).repartition(4)
-    heavy = skew.heavy_keys(transactions, "session_id")
-    assert {r.session_id: r.parts for r in heavy.collect()}["hot"] == 20
+    heavy = skew.heavy_keys(transactions, "session_id")["session_id"]
+    assert heavy["hot"] == heavy[None] == 20
     plain = transactions.join(S.session_level_counts(events), "session_id", "left")
     got = skew.lookup(transactions, S.session_level_counts(events), "session_id", heavy, "left")
     columns = ["transaction_id", "session_id", *S.LEVELS]
     assert rows(got, *columns) == rows(plain, *columns)
+    spread = skew.to_part(transactions, "session_id", heavy, "part", "transaction_id")
+    assert spread.filter("session_id = 'hot'").select("part").distinct().count() > 10
+    assert spread.filter("session_id is null").select("part").distinct().count() > 10
     inner = skew.lookup(transactions, S.session_level_counts(events), "session_id", heavy)
     assert rows(inner, *columns) == rows(plain.filter("L1 is not null"), *columns)
 
