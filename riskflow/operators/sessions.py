@@ -32,16 +32,9 @@ def session_event_join(transactions: DataFrame, events: DataFrame, heavy: Heavy
     Pairing every transaction with every single event grows with the square of a session; the counts hold the same
     information.
     """
-    by_type = (
-        events.filter("session_id is not null")
-        .groupBy("session_id", "event_type")
-        .agg(F.count(F.lit(1)).alias("events"))
-        .groupBy("session_id")
-        .agg(F.collect_list(F.struct("event_type", "events")).alias("types"))
-    )
+    by_type = events.groupBy("session_id", "event_type").agg(F.count(F.lit(1)).alias("events"))
     heavy = heavy or heavy_keys(transactions, "session_id")
-    joined = lookup(transactions, by_type, "session_id", heavy["session_id"], spread_by="transaction_id")
-    return joined.select("*", F.inline("types")).drop("types")
+    return lookup(transactions, by_type, "session_id", heavy["session_id"], spread_by="transaction_id")
 
 
 def session_level_counts(events: DataFrame) -> DataFrame:
@@ -112,56 +105,53 @@ def session_rollup(events: DataFrame, browsing_events: Sequence[str] = BROWSING_
 
     Gives everything the feature table needs from the events in one scan.
     """
-    listed = _is_listed(browsing_events)
-    level = X.event_level(F.col("event_type"))
-    micros = F.unix_micros("event_time")
-
-    def first(moment: Column, is_listed: Column) -> Column:
-        # Smallest moment and, in the last bit, whether it belongs to a browsing event; ties go to those.
-        return F.min(moment * 2 + F.when(is_listed, 0).otherwise(1))
-
-    def led_by_listed(name: str) -> Column:
-        return F.col(name).bitwiseAND(F.lit(1).cast("long")) == 0
-
-    sums = [*LEVELS, "listed"]
+    sums = [F.expr(f"sum({name}) as {name}") for name in [*LEVELS, "listed"]]
     seconds = (
         events.filter("session_id is not null")
-        .groupBy("session_id", F.col("event_time").cast("long").alias("second"))
+        .select(
+            "session_id",
+            F.expr("cast(event_time as long) as second"),
+            F.expr("unix_micros(event_time) as micros"),
+            X.event_level(F.col("event_type")).alias("level"),
+            _is_listed(browsing_events).alias("listed"),
+        )
+        .groupBy("session_id", "second")
         .agg(
-            *[F.count_if(level == name).alias(name) for name in LEVELS],
-            F.count_if(listed).alias("listed"),
-            F.min(micros).alias("start"),
-            F.max(micros).alias("finish"),
-            first(micros, listed).alias("first"),
+            *[F.expr(f"count_if(level = '{name}') as {name}") for name in LEVELS],
+            F.expr("count_if(listed) as listed"),
+            F.expr("min(micros) as start"),
+            F.expr("max(micros) as finish"),
+            # The smallest moment, with a last bit of 0 for a browsing event, so that those win ties.
+            F.expr("min(micros * 2 + if(listed, 0, 1)) as first"),
         )
-        .withColumn("day", F.floor(F.col("second") / 86_400))
+        .selectExpr("*", "floor(second / 86400) as day", "first & 1 = 0 as led")
     )
-    in_day = Window.partitionBy("session_id", "day").orderBy("second")
     days = (
-        seconds.withColumn(
-            "spent", F.when(led_by_listed("first"), F.col("second") - F.lag("second").over(in_day))
+        seconds.selectExpr(
+            "*", "if(led, second - lag(second) over (partition by session_id, day order by second), null) as spent"
         )
         .groupBy("session_id", "day")
         .agg(
-            *[F.sum(name).alias(name) for name in sums],
-            F.min("start").alias("start"),
-            F.max("finish").alias("finish"),
-            F.sum("spent").alias("spent"),
-            first(F.col("second"), led_by_listed("first")).alias("first"),
-            F.min("second").alias("first_second"),
-            F.max("second").alias("last_second"),
+            *sums,
+            F.expr("min(start) as start"),
+            F.expr("max(finish) as finish"),
+            F.expr("sum(spent) as spent"),
+            F.expr("min(second * 2 + if(led, 0, 1)) as first"),
+            F.expr("max(second) as last_second"),
         )
+        .selectExpr("*", "shiftright(first, 1) as first_second", "first & 1 = 0 as led")
     )
-    across_days = Window.partitionBy("session_id").orderBy("day")
-    pause = F.when(led_by_listed("first"), F.col("first_second") - F.lag("last_second").over(across_days))
     return (
-        days.withColumn("pause", pause)
+        days.selectExpr(
+            "*",
+            "if(led, first_second - lag(last_second) over (partition by session_id order by day), null) as pause",
+        )
         .groupBy("session_id")
         .agg(
-            *[F.sum(name).alias(name) for name in sums],
-            F.timestamp_micros(F.min("start")).alias("start_time"),
-            F.timestamp_micros(F.max("finish")).alias("finish_time"),
-            F.sum(F.coalesce("spent", F.lit(0)) + F.coalesce("pause", F.lit(0))).alias("total_browsing_time"),
+            *sums,
+            F.expr("timestamp_micros(min(start)) as start_time"),
+            F.expr("timestamp_micros(max(finish)) as finish_time"),
+            F.expr("sum(coalesce(spent, 0L) + coalesce(pause, 0L)) as total_browsing_time"),
         )
     )
 

@@ -78,10 +78,10 @@ def lookup(
     how: str = "inner",
     spread_by: str | None = None,
 ) -> DataFrame:
-    """Join many rows per key to a side with one row per key; `key` comes first in the result.
+    """Join many rows per key to a side with one row, or few, per key; `key` comes first in the result.
 
-    Without heavy keys this is a plain join. Else the rows of a heavy key are split into parts, and its single
-    matching row is repeated once per part. Rows without a key match nothing and are spread out in a left join.
+    Without heavy keys this is a plain join. Else the rows of a heavy key are split into parts, and what matches it
+    on the right is repeated once per part. Rows without a key match nothing and are spread out in a left join.
     """
     if not heavy:
         return left.join(right, key, how)

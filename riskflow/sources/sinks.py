@@ -20,6 +20,9 @@ def write_jdbc(
     connections: int = 16,
     batch_size: int = 10_000,
 ) -> None:
-    """Drop and recreate a database table. At most `connections` tasks write at a time."""
-    options = {"numPartitions": str(connections), "batchsize": str(batch_size), **dict(properties or {})}
-    df.write.jdbc(url, table, mode="overwrite", properties=options)
+    """Drop and recreate a database table, written over at most `connections` connections.
+
+    The rows are shuffled to that many tasks first, so that the work before the write keeps its parallelism.
+    """
+    options = {"batchsize": str(batch_size), **dict(properties or {})}
+    df.repartition(connections).write.jdbc(url, table, mode="overwrite", properties=options)

@@ -55,7 +55,7 @@ def test_ties_edges_and_equal_places(spark):
 
 def test_cells_cut_to_the_last_level_stay_exact(spark):
     rng = random.Random(3)
-    check(spark, uniform(rng, 300), named(uniform(rng, 120)), max_listed=1)
+    check(spark, uniform(rng, 300), named(uniform(rng, 30)), max_listed=1)
 
 
 def test_lists_are_short(spark):

@@ -173,6 +173,13 @@ def test_events_without_time_keep_the_session(spark):
     assert (row.listed, row.total_browsing_time, row.start_time) == (3, 2, at(7))
 
 
+def test_times_before_1970(spark):
+    old = dt.datetime(1969, 12, 30, 23, 59, 58, 500_000)
+    df = events_df(spark, [("s", "AP", old), ("s", "HP", old + dt.timedelta(seconds=5)), ("s", "HP", old + dt.timedelta(days=4))])
+    row = S.session_rollup(df).collect()[0]
+    assert (row.start_time, row.total_browsing_time) == (old, 4 * 86_400)
+
+
 def test_heavy_sessions_are_split_and_give_the_same_rows(spark, small_tasks):
     rng = random.Random(5)
     transactions = spark.createDataFrame(

@@ -75,10 +75,11 @@ class Recorder:
 def test_jdbc_options():
     # No database is started for tests; this checks what Spark is asked to do.
     writer, reader = Recorder(), Recorder()
-    sinks.write_jdbc(type("D", (), {"write": writer})(), "jdbc:x", properties={"user": "u"}, connections=4)
+    frame = type("D", (), {"write": writer, "repartition": lambda self, n: setattr(writer, "tasks", n) or self})()
+    sinks.write_jdbc(frame, "jdbc:x", properties={"user": "u"}, connections=4)
+    assert writer.tasks == 4
     assert writer.call == (
-        ("jdbc:x", "predictions"),
-        {"mode": "overwrite", "properties": {"numPartitions": "4", "batchsize": "10000", "user": "u"}},
+        ("jdbc:x", "predictions"), {"mode": "overwrite", "properties": {"batchsize": "10000", "user": "u"}},
     )
     readers.read_jdbc(
         type("S", (), {"read": reader})(), "jdbc:x", properties={"user": "u"}, column="clear_payment", lowerBound=0,
