@@ -17,6 +17,12 @@ def duck(sf_dir):
     return con
 
 
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+}
+
+
 def plain(value):
     if isinstance(value, float):
         return None if math.isnan(value) else float(f"{value:.12g}")
@@ -34,6 +40,8 @@ def compare(spark_df, con, sql):
     columns = [d[0] for d in cursor.description]
     expected = normal(columns, cursor.fetchall())
     assert sorted(columns) == sorted(spark_df.columns)
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    assert {c: TYPES[d] for c, d in spark_df.dtypes} == types
     assert len(got) == len(expected)
     for g, e in zip(got, expected):
         assert g == e
