@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskflow.llm import exact_dedup, packing, repair, token_counts as counting
+from riskflow.llm import decontamination, exact_dedup, packing, repair, token_counts as counting
 from riskflow.llm.tokens import VOCABULARY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), limit=1024)
 
 
+@query("op6_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = decontamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return report.drop("matches")
+
+
 @query("op8_token_ids")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.encode_and_read_back(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), end_id=2)
