@@ -25,8 +25,17 @@ def normalized(text: Column) -> Column:
 def repeated_cells(hashes: DataFrame, cells: int = CELLS) -> DataFrame:
     """The filter of pass 1: blocks of bits, set where two rows or more of the only column (long) fall on a cell."""
     (name,) = hashes.columns
-    counted = hashes.groupBy(F.pmod(F.col(name), F.lit(cells)).alias("cell")).count().filter("count > 1")
-    words = counted.groupBy(F.shiftright("cell", 6).alias("word")).agg(
+    return _blocks(hashes.groupBy(F.pmod(F.col(name), F.lit(cells)).alias("cell")).count().filter("count > 1"))
+
+
+def filter_of(hashes: DataFrame, cells: int = CELLS) -> DataFrame:
+    """A filter with the bits of all values of the only column (long) set."""
+    (name,) = hashes.columns
+    return _blocks(hashes.select(F.pmod(F.col(name), F.lit(cells)).alias("cell")))
+
+
+def _blocks(set_cells: DataFrame) -> DataFrame:
+    words = set_cells.groupBy(F.shiftright("cell", 6).alias("word")).agg(
         F.expr("bit_or(shiftleft(1L, cast(cell & 63 as int)))").alias("bits")
     )
     return (

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskflow.llm import decontamination, exact_dedup, packing, repair, token_counts as counting
+from riskflow.llm import decontamination, exact_dedup, jaccard, packing, repair, token_counts as counting
 from riskflow.llm.tokens import VOCABULARY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def query(name: str, sql: str | None = None) -> Callable:
     return register
 
 
+@query("op2_ngram_jaccard")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicate_classes(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 @query("op3_token_counts")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), limit=1024)
