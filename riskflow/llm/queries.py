@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskflow.llm import decontamination, exact_dedup, jaccard, packing, repair, token_counts as counting
+from riskflow.llm import decontamination, exact_dedup, jaccard, langid, packing, repair, token_counts as counting
 from riskflow.llm.tokens import VOCABULARY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,18 @@ def query(name: str, sql: str | None = None) -> Callable:
     return register
 
 
+PIECES = "piece_bpe_32k.model"
+
+
+@query("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    unseen = langid.held_out(F.col("doc_id"), 4, 2)
+    model = langid.fit(docs.filter(~unseen), public_tokenizers.path(PIECES))
+    predicted = langid.predict(docs.select("doc_id", "text", unseen.alias("held_out")), model)
+    return predicted.select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query("op2_ngram_jaccard")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicate_classes(table(spark, sf_dir, "documents"), width=3, percent=90)
