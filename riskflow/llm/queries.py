@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskflow.llm import decontamination, exact_dedup, jaccard, langid, packing, repair, token_counts as counting
+from riskflow.llm import decontamination, exact_dedup, jaccard, langid, packing, repair, token_counts as counting, toxicity
 from riskflow.llm.tokens import VOCABULARY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,15 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), limit=1024)
 
 
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    unseen = langid.held_out(F.col("doc_id"), 3, 1)
+    model = toxicity.fit(docs, labels.filter(~unseen))
+    scored = toxicity.score(docs.select("doc_id", "text", unseen.alias("held_out")), model, threshold=0.7)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @query("op6_decontamination")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = decontamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
