@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskflow.llm import decontamination, exact_dedup, jaccard, langid, packing, repair, token_counts as counting, toxicity
+from riskflow.llm import decontamination, exact_dedup, jaccard, langid, line_dedup, packing, repair, token_counts as counting, toxicity
 from riskflow.llm.tokens import VOCABULARY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,28 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), limit=1024)
 
 
+@query(
+    "op4_line_dedup",
+    """
+    with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from documents),
+     h as (select *, md5(line) as h from l),
+     r as (select *, md5(coalesce(lag(h) over (partition by doc_id order by i), '') || h) as r from h),
+     s as (select *, case when i = 1 or (lead(r) over d is not null and r < lag(r) over d and r <= lead(r) over d) then 1 else 0 end as s
+       from r window d as (partition by doc_id order by i)),
+     n as (select *, sum(s) over (partition by doc_id order by i) as nth from s),
+     c as (select doc_id, nth, string_agg(line, chr(10) order by i) as chunk, count(*) as n from n group by 1, 2),
+     e as (select *, row_number() over (partition by chunk order by doc_id, nth) as k from c where n > 1 and regexp_matches(chunk, '[^ \t\r\n]')),
+     k as (select c.*, coalesce(e.k, 1) > 1 as gone from c left join e using (doc_id, nth))
+    select d.doc_id, cast(coalesce(sum(n), 0) as bigint) as n_lines, cast(coalesce(sum(n) filter (gone), 0) as bigint) as n_removed_lines,
+      cast(count(*) filter (gone) as bigint) as n_removed_chunks,
+      case when any_value(d.text) is not null then coalesce(string_agg(chunk, chr(10) order by nth) filter (not gone), '') end as text
+    from documents d left join k using (doc_id) group by d.doc_id
+    """,
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.without_repeated_chunks(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op5_toxicity")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
