@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskflow.llm import decontamination, exact_dedup, jaccard, langid, line_dedup, packing, repair, token_counts as counting, toxicity
+from riskflow.llm import decontamination, exact_dedup, html_text, jaccard, langid, line_dedup, packing, repair, token_counts as counting, toxicity
 from riskflow.llm.tokens import VOCABULARY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +87,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.drop("matches")
 
 
+@query("op7_html_text")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 @query("op8_token_ids")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.encode_and_read_back(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), end_id=2)
