@@ -6,15 +6,16 @@ in some segment that is not empty. A tile is one band, segment and segment conte
 Comparison. Hashed bitmaps bound the overlap from above by bit counts; pairs that may still be similar enough are
 decided by intersecting the sorted arrays.
 Classes. Equal sets are one node. In a first round each node is compared with the most central member of its tiles
-only, and links are contracted. Tiles whose members are one class by then are done. In the others, all pairs between
-different classes are compared: small tiles give their distinct pairs, large ones are cut into blocks.
+only, and links are contracted. Tiles whose members are one class by then are done. Of the others, small ones give
+their pairs between different classes. Members of large ones, which share a long passage, meet again in tiles of their
+rarest shingles, in the same two steps; only what is large and open even then is compared in blocks.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from riskflow.llm.common import NOT_SPACE, Batches, map_batches, mix, ship, stored, text_bytes, text_slices, word_hashes, word_spans
 from riskflow.llm.components import components
@@ -242,39 +243,24 @@ def near_duplicate_classes(
     # Only entries of shared tiles go on; the filter lets few others into the shuffle.
     maybe = with_repeated(entries, "tile", stored(filter_of(shared), "filter"), "_shared").filter("_shared").drop("_shared")
     members = stored(maybe.join(shared, "tile"), "members")
-    degree = stored(members.groupBy("node").agg(F.count(F.lit(1)).alias("degree")), "degrees")
-    ranked = members.join(degree, "node").select("tile", "node", F.struct((-F.col("degree")).alias("d"), F.col("node").alias("n")).alias("rank"))
-    centres = stored(ranked.groupBy("tile").agg(F.min("rank").alias("centre")), "centres")
-    best = members.join(centres, "tile").groupBy("node").agg(F.min("centre").alias("centre"))
-    pairs = best.select(F.col("node").alias("a"), F.col("centre.n").alias("b")).filter("a <> b")
-
     # The arrays of these nodes only, made anew from their texts.
-    wanted = stored(filter_of(degree.select("node")), "filter")
+    shared_nodes = stored(members.select("node").distinct(), "shared-nodes")
+    wanted = stored(filter_of(shared_nodes), "filter")
     texts = with_repeated(rows.filter("doc_id is not null"), "doc_id", wanted, "_wanted").filter("_wanted").select("doc_id", "_text")
     made = map_batches(texts, _arrays(width), "node long, bits binary, shingles binary")
-    arrays = stored(made.join(degree.select("node"), "node", "left_semi"), "arrays")
-
-    compared = _compared(pairs, arrays, percent)
-    links = compared.filter("linked").select("a", "b")
-    labels = stored(components(links), "labels")
-    classed = stored(members.join(labels, "node", "left").select("tile", "node", F.coalesce("label", "node").alias("label")), "classed")
-    open_tiles = stored(
-        classed.groupBy("tile")
-        .agg(F.min("label").alias("_low"), F.max("label").alias("_high"), F.count(F.lit(1)).alias("size"))
-        .filter("_low < _high")
-        .select("tile", "size"),
-        "open",
-    )
-    if not open_tiles.isEmpty():
-        left = stored(classed.join(open_tiles, "tile"), "left")
-        small = left.filter(F.col("size") <= BLOCK).groupBy("tile").agg(F.collect_list(F.struct("node", "label")).alias("members"))
-        listed = map_batches(small.select("members"), _open_pairs, "a long, b long").distinct()
-        known = compared.filter("not linked").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        more = _compared(listed.join(known, ["a", "b"], "left_anti"), arrays, percent).filter("linked").select("a", "b")
+    arrays = stored(made.join(shared_nodes, "node", "left_semi"), "arrays")
+
+    links, labels, compared, left = _with_centres(members, arrays, percent, None)
+    links = links.unionByName(_listed_links(left, arrays, compared, percent))
+    many = stored(left.filter(F.col("size") > BLOCK).select("node").distinct(), "many")
+    if not many.isEmpty():
+        rare = stored(_rarest(arrays.join(many, "node", "left_semi"), percent), "rare")
+        links, labels, compared, left = _with_centres(rare, arrays, percent, links)
+        links = links.unionByName(_listed_links(left, arrays, compared, percent))
         large = left.filter(F.col("size") > BLOCK)
         if not large.isEmpty():
-            more = more.unionByName(stored(_block_links(large, arrays, percent), "blocks"))
-        labels = stored(components(links.unionByName(more)), "labels")
+            links = links.unionByName(stored(_block_links(large, arrays, percent), "blocks"))
+    labels = stored(components(links), "labels")
 
     classes = nodes.select("d1", "d2", "node").join(labels, "node", "left")
     classes = stored(classes.select("d1", "d2", F.coalesce("label", "node").alias("component_id")), "classes")
@@ -284,6 +270,60 @@ def near_duplicate_classes(
     return some.select("doc_id", "n_shingles", "component_id").unionByName(none)
 
 
+def _with_centres(members: DataFrame, arrays: DataFrame, percent: int, links: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """One round over tiles (tile, node): each node is compared with the most central member of its tiles.
+
+    Gives all links so far, the labels of classes, the pairs compared, and the members (tile, node, label, size) of the
+    tiles that still hold several classes.
+    """
+    degree = stored(members.groupBy("node").agg(F.count(F.lit(1)).alias("degree")), "degrees")
+    ranked = members.join(degree, "node").select("tile", "node", F.struct((-F.col("degree")).alias("d"), F.col("node").alias("n")).alias("rank"))
+    centres = stored(ranked.groupBy("tile").agg(F.min("rank").alias("centre")), "centres")
+    best = members.join(centres, "tile").groupBy("node").agg(F.min("centre").alias("centre"))
+    compared = _compared(best.select(F.col("node").alias("a"), F.col("centre.n").alias("b")).filter("a <> b"), arrays, percent)
+    found = compared.filter("linked").select("a", "b")
+    links = found if links is None else links.unionByName(found)
+    labels = stored(components(links), "labels")
+    classed = stored(members.join(labels, "node", "left").select("tile", "node", F.coalesce("label", "node").alias("label")), "classed")
+    sizes = classed.groupBy("tile").agg(F.min("label").alias("_low"), F.max("label").alias("_high"), F.count(F.lit(1)).alias("size"))
+    left = stored(classed.join(stored(sizes.filter("_low < _high").select("tile", "size"), "open"), "tile"), "left")
+    return links, labels, compared, left
+
+
+def _listed_links(left: DataFrame, arrays: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
+    """Links among the pairs of different classes in open tiles of at most BLOCK members; each pair is compared once."""
+    small = left.filter(F.col("size") <= BLOCK).groupBy("tile").agg(F.collect_list(F.struct("node", "label")).alias("members"))
+    listed = map_batches(small.select("members"), _open_pairs, "a long, b long").distinct()
+    known = compared.filter("not linked").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    return _compared(listed.join(known, ["a", "b"], "left_anti"), arrays, percent).filter("linked").select("a", "b")
+
+
+def _exploded(batches: Batches) -> Batches:
+    for batch in batches:
+        sets = [np.frombuffer(s.as_py(), np.int64) for s in batch.column("shingles")]
+        sizes = [len(s) for s in sets]
+        nodes, n = np.repeat(batch.column("node").to_numpy(), sizes), np.repeat(sizes, sizes)
+        flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+        for low in range(0, len(flat), 1 << 20):
+            part = slice(low, low + (1 << 20))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[part]), pa.array(n[part]), pa.array(flat[part])], names=["node", "n", "tile"])
+
+
+def _rarest(arrays: DataFrame, percent: int) -> DataFrame:
+    """Another kind of tiles for nodes that share large ones: (tile, node) for the rarest shingles of each.
+
+    In the order of their frequency among these nodes, two similar enough sets of n and m shingles share one among
+    the first n - ceil(percent * n / 100) + 1 and m - ceil(percent * m / 100) + 1. What many have in common comes last.
+    """
+    shingles = map_batches(arrays.select("node", "shingles"), _exploded, "node long, n long, tile long")
+    counts = stored(shingles.groupBy("tile").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "frequencies")
+    rows = stored(shingles.join(counts, "tile"), "frequent")  # the others, all unique, come first and match nothing
+    frequent = rows.groupBy("node").agg(F.count(F.lit(1)).alias("c"))
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("df", "tile"))
+    prefix = F.expr(f"n - cast(ceil(n * {percent} / 100.0) as long) + 1 - (n - c)")
+    return rows.join(frequent, "node").withColumn("_rank", rank).filter(F.col("_rank") <= prefix).select("tile", "node")
+
+
 def _block_links(members: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
     """Links between classes in large tiles. Only members outside the tile's largest class stand on the left of blocks."""
     sizes = members.groupBy("tile", "label").agg(F.count(F.lit(1)).alias("n"))
