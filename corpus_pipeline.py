@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskflow.llm import decontamination, exact_dedup, jaccard, langid, packing
-from riskflow.llm.common import new_path
+from riskflow.llm.common import PlainNames, new_path
 from riskflow.llm.tokens import VOCABULARY
 
 PIECES = "piece_bpe_32k.model"
@@ -22,12 +22,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without letters or without a clear language."""
-    names = {name: f"_c{i}" for i, name in enumerate(docs.columns)}  # columns of any name may be there
-    renamed = docs.select(*[F.col(f"`{a}`").alias(b) for a, b in names.items()])
+    plain = PlainNames(docs)  # columns of any name may be there
     model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"), 4, 2)), public_tokenizers.path(PIECES))
-    predicted = langid.predict(renamed, model, names["text"])
-    known = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
-    return predicted.filter(known).select(*[F.col(b).alias(a) for a, b in names.items()])
+    predicted = langid.predict(plain.df, model, plain["text"])
+    return plain.restored(predicted.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -59,6 +59,21 @@ def clean(spark: SparkSession) -> None:
     discard(spark, work_dir(spark))
 
 
+class PlainNames:
+    """`df` with columns _c0, _c1, ...: columns of any name may be in a table, so that none clashes with a step's own."""
+
+    def __init__(self, docs: DataFrame) -> None:
+        self.own = {name: f"_c{i}" for i, name in enumerate(docs.columns)}
+        self.df = docs.toDF(*self.own.values())
+
+    def __getitem__(self, name: str) -> str:
+        return self.own[name]
+
+    def restored(self, df: DataFrame, *more: str) -> DataFrame:
+        """The table's columns under their names, and `more` columns of `df`."""
+        return df.select(*[F.col(b).alias(a) for a, b in self.own.items()], *more)
+
+
 _shipped: set[str] = set()
 
 

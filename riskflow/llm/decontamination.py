@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskflow.llm.common import ALPHANUMERIC, Batches, map_batches, stored, text_bytes, text_slices, word_hashes, word_spans
+from riskflow.llm.common import ALPHANUMERIC, Batches, PlainNames, map_batches, stored, text_bytes, text_slices, word_hashes, word_spans
 
 WINDOW = 10
 # A larger benchmark is searched in parts of so many words, one after another, so that what is sent out is bounded.
@@ -229,7 +229,5 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = WI
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_column: str = "text") -> DataFrame:
     """The rows of `docs` without any verbatim window of the benchmark, with their columns."""
-    names = {name: f"_c{i}" for i, name in enumerate(docs.columns)}
-    renamed = docs.select(*[F.col(f"`{a}`").alias(b) for a, b in names.items()])
-    clean = with_matches(renamed, benchmark, window, names[text_column]).filter(F.size("matches") == 0)
-    return clean.select(*[F.col(b).alias(a) for a, b in names.items()])
+    plain = PlainNames(docs)
+    return plain.restored(with_matches(plain.df, benchmark, window, plain[text_column]).filter(F.size("matches") == 0))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskflow.llm.common import LOWER, UPPER, stored
+from riskflow.llm.common import LOWER, UPPER, PlainNames, stored
 
 # Cells of the filter: 16 MB of bits at most, whatever the input.
 CELLS = 1 << 27
@@ -88,14 +88,16 @@ def duplicate_report(docs: DataFrame, id_column: str = "doc_id", text_column: st
 
 def drop_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", cells: int = CELLS) -> DataFrame:
     """The rows of `docs` that stay, with their columns. Only rows of possibly repeated texts are shuffled."""
-    digest = F.sha2(normalized(F.col(text_column)).cast("binary"), 256)
-    rows = docs.withColumn("_sha", digest).withColumn("_hash", F.xxhash64("_sha"))
+    plain = PlainNames(docs)
+    id_name, text_name = plain[id_column], plain[text_column]
+    digest = F.sha2(normalized(F.col(text_name)).cast("binary"), 256)
+    rows = plain.df.withColumn("_sha", digest).withColumn("_hash", F.xxhash64("_sha"))
     blocks = stored(repeated_cells(rows.select("_hash"), cells), "filter")
     flagged = with_repeated(rows, "_hash", blocks, "_repeated", cells)
     repeated = flagged.filter("_repeated")
-    keep = stored(repeated.groupBy("_sha").agg(F.max(id_column).alias("_keep")), "keep").withColumnRenamed("_sha", "_of")
+    keep = stored(repeated.groupBy("_sha").agg(F.max(id_name).alias("_keep")), "keep").withColumnRenamed("_sha", "_of")
     # On digest and id: no key holds a whole group. Rows that repeat an id and its text meet in one window.
-    kept = repeated.join(keep, (F.col("_sha") == F.col("_of")) & F.col(id_column).eqNullSafe(F.col("_keep")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("_sha", id_column).orderBy(F.lit(1)))
+    kept = repeated.join(keep, (F.col("_sha") == F.col("_of")) & F.col(id_name).eqNullSafe(F.col("_keep")), "left_semi")
+    nth = F.row_number().over(Window.partitionBy("_sha", id_name).orderBy(F.lit(1)))
     kept = kept.withColumn("_nth", nth).filter("_nth = 1")
-    return flagged.filter("not _repeated").select(*docs.columns).unionByName(kept.select(*docs.columns))
+    return plain.restored(flagged.filter("not _repeated")).unionByName(plain.restored(kept))

@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskflow.llm.common import Batches, map_batches, text_slices
+from riskflow.llm.common import Batches, PlainNames, map_batches, text_slices
 from riskflow.llm.labelled_pages import labelled_pages
 
 BLOCKS = frozenset(
@@ -253,16 +253,16 @@ def extract(pages: DataFrame, model: Model | None = None, html_column: str = "ht
     Null and empty pages, and pages without main text, have an empty text. Columns named text and n_chars are replaced.
     """
     model = model or train(labelled_pages())
-    kept = [c for c in pages.columns if c not in ("text", "n_chars", html_column)]
-    base = pages.select(*kept, F.coalesce(F.col(html_column), F.lit("")).alias("_html"))
+    plain = PlainNames(pages.drop(*(c for c in ("text", "n_chars") if c != html_column)))
+    html_name = plain.own.pop(html_column)
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            for part in text_slices(batch, "_html"):
-                texts = [main_text(p, model) for p in part.column("_html").to_pylist()]
-                columns = [part.column(i) for i, c in enumerate(part.schema.names) if c != "_html"]
+            for part in text_slices(batch, html_name):
+                texts = [main_text(p or "", model) for p in part.column(html_name).to_pylist()]
+                columns = [part.column(i) for i, c in enumerate(part.schema.names) if c != html_name]
                 columns += [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=[*(c for c in part.schema.names if c != "_html"), "text", "n_chars"])
+                yield pa.RecordBatch.from_arrays(columns, names=[*(c for c in part.schema.names if c != html_name), "text", "n_chars"])
 
-    schema = base.drop("_html").withColumn("text", F.lit("")).withColumn("n_chars", F.lit(0).cast("long")).schema
-    return map_batches(base, run, schema)
+    schema = plain.df.drop(html_name).withColumn("text", F.lit("")).withColumn("n_chars", F.lit(0).cast("long")).schema
+    return plain.restored(map_batches(plain.df, run, schema), "text", "n_chars")

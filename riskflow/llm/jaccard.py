@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskflow.llm.common import NOT_SPACE, Batches, map_batches, mix, ship, stored, text_bytes, text_slices, word_hashes, word_spans
+from riskflow.llm.common import NOT_SPACE, Batches, PlainNames, map_batches, mix, ship, stored, text_bytes, text_slices, word_hashes, word_spans
 from riskflow.llm.components import components
 from riskflow.llm.exact_dedup import filter_of, with_repeated
 
@@ -341,14 +341,14 @@ def _block_links(members: DataFrame, arrays: DataFrame, percent: int) -> DataFra
 
 
 def keep_one_of_each_class(docs: DataFrame, width: int = 3, percent: int = 90, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of `docs` with the smallest id of their class, with their columns. Of rows that repeat an id, one stays;
-    rows with a null id stay."""
+    """The rows of `docs` with the smallest id of their class, with their columns. Rows that repeat an id are one
+    document and stay or go together; rows with a null id stay."""
     classes = near_duplicate_classes(docs, width, percent, id_column, text_column)
     dropped = stored(classes.filter("doc_id <> component_id").select("doc_id").distinct(), "dropped").withColumnRenamed("doc_id", "_dropped")
     blocks = stored(filter_of(dropped), "filter")
-    number = F.col(id_column).cast("long")
-    rows = docs.withColumn("_id", F.coalesce(number, F.lit(0).cast("long")))
-    flagged = with_repeated(rows, "_id", blocks, "_maybe")
-    sure = flagged.filter(F.col(id_column).isNull() | ~F.col("_maybe")).select(*docs.columns)
-    rest = flagged.filter(F.col(id_column).isNotNull() & F.col("_maybe")).join(dropped, F.col("_id") == F.col("_dropped"), "left_anti")
-    return sure.unionByName(rest.select(*docs.columns))
+    plain = PlainNames(docs)
+    number = F.col(plain[id_column]).cast("long")
+    flagged = with_repeated(plain.df.withColumn("_id", F.coalesce(number, F.lit(0).cast("long"))), "_id", blocks, "_maybe")
+    sure = flagged.filter(number.isNull() | ~F.col("_maybe"))
+    rest = flagged.filter(number.isNotNull() & F.col("_maybe")).join(dropped, F.col("_id") == F.col("_dropped"), "left_anti")
+    return plain.restored(sure).unionByName(plain.restored(rest))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskflow.llm.common import stored
+from riskflow.llm.common import PlainNames, stored
 from riskflow.llm.exact_dedup import filter_of, repeated_cells, with_repeated
 
 _KEY = ["_id", "_hash"]
@@ -72,22 +72,24 @@ def without_repeated_chunks(docs: DataFrame, id_column: str = "doc_id", text_col
     Lines end at line feeds. The first occurrence, by id, hash of the text and position, stays. Null texts stay null and
     have no lines; an empty text is one empty line. Chunks of white space alone stay. Null ids come first.
     """
-    names = [c for c in docs.columns if c not in ("n_lines", "n_removed_lines", "n_removed_chunks")]
-    removals = stored(_removals(docs, id_column, text_column), "removals")
+    plain = PlainNames(docs.drop("n_lines", "n_removed_lines", "n_removed_chunks"))
+    id_name, text_name = plain[id_column], plain[text_column]
+    removals = stored(_removals(plain.df, id_name, text_name), "removals")
     touched = stored(filter_of(removals.select(F.xxhash64(*_KEY).alias("key"))), "filter")
-    keyed = _keyed(docs.select(*names), id_column, text_column).withColumn("_row", F.xxhash64(*_KEY))
+    keyed = _keyed(plain.df, id_name, text_name).withColumn("_row", F.xxhash64(*_KEY))
     flagged = with_repeated(keyed, "_row", touched, "_touched").drop("_row")
-    lines = F.coalesce(F.size(F.split(F.col(text_column), "\n", -1)), F.lit(0)).cast("long")
+    lines = F.coalesce(F.size(F.split(F.col(text_name), "\n", -1)), F.lit(0)).cast("long")
     zero = F.lit(0).cast("long")
-    same = flagged.filter("not _touched").select(*names, lines.alias("n_lines"), zero.alias("n_removed_lines"), zero.alias("n_removed_chunks"))
-    changed = with_chunks(flagged.filter("_touched").join(removals, _KEY, "left"), text_column)
+    new = ["n_lines", "n_removed_lines", "n_removed_chunks"]
+    same = flagged.filter("not _touched").withColumns(dict(zip(new, [lines, zero, zero], strict=True)))
+    changed = with_chunks(flagged.filter("_touched").join(removals, _KEY, "left"), text_name)
     gone = F.coalesce("_gone", F.array().cast("array<int>"))
     removed_lines = F.aggregate(F.filter("_chunks", lambda c, i: F.array_contains(gone, i)), F.lit(0), lambda a, c: a + c["n"])
-    columns = [F.when(F.size(gone) > 0, _kept(gone)).otherwise(F.col(c)).alias(c) if c == text_column else F.col(c) for c in names]
     changed = changed.select(
-        *columns,
+        *[c for c in plain.df.columns if c != text_name],
+        F.when(F.size(gone) > 0, _kept(gone)).otherwise(F.col(text_name)).alias(text_name),
         F.col("n_lines").cast("long"),
         F.coalesce(removed_lines, F.lit(0)).cast("long").alias("n_removed_lines"),
         F.size(gone).cast("long").alias("n_removed_chunks"),
     )
-    return same.unionByName(changed)
+    return plain.restored(same, *new).unionByName(plain.restored(changed, *new))

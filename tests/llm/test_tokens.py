@@ -1,0 +1,129 @@
+"""Encoding, token counts, token-id files and packing against the library's own ids."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from riskflow.llm import packing, repair, token_counts
+from riskflow.llm.tokens import Encoder
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+LIBRARY = Tokenizer.from_file(PATH)
+ENCODER = Encoder(PATH)
+
+DOCS = [
+    (1, "Hello world, it's  a test.\n\nNew line <|endoftext|> end"), (2, None), (3, ""), (4, "été ñ 漢字 \u0085 x" * 40), (4, "same id"),
+    (None, "no id"), (7, "Hello world"), (7, "Hello world"), (8, " ".join(f"w{i}" for i in range(9000))), (9, "<|endoftext|>"), (10, "z" * 5000),
+]
+
+
+def ids_of(text):
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(d, t, "x", 1, 2) for d, t in DOCS]
+    return spark.createDataFrame(rows, "doc_id long, text string, _text string, n_tokens int, digest int")
+
+
+SYMBOLS = [*"ab1 '.,<|>\n\té—ß漢\u0301\u0085\u00a0", "<|endoftext|>", "'s", "'ll", "  "]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(SYMBOLS), max_size=25).map("".join), max_size=4))
+def test_same_ids_as_the_library(texts):
+    ids, ends = ENCODER.encode(pa.array(texts, pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [ids_of(t) for t in texts]
+
+
+def test_counts_and_cache(spark, docs, scratch):
+    path = f"{scratch}/token-cache"
+    for _ in range(2):  # the second time all counts come from the cache
+        rows = token_counts.token_counts(docs, PATH, 1024, cache_path=path).collect()
+        assert sorted(map(repr, map(tuple, rows))) == sorted(
+            repr((d, len((t or "").encode()), len(ids_of(t)), len(ids_of(t)) > 1024)) for d, t in DOCS
+        )
+    cached = spark.read.parquet(path)
+    assert cached.count() == len({t or "" for _, t in DOCS}) == cached.select("digest").distinct().count()
+    assert token_counts.token_counts(docs.limit(0), PATH, 1024).count() == 0
+
+
+def test_files_are_read_back(docs):
+    rows = repair.encode_and_read_back(docs, PATH, end_id=2).orderBy("start").collect()
+    assert [r["doc_id"] for r in rows] == sorted((d for d, _ in DOCS), key=lambda d: -1 if d is None else d)
+    at, left = 0, [(d, ids_of(t) + [2]) for d, t in DOCS]
+    for r in rows:
+        match = next(x for x in left if x[0] == r["doc_id"] and zlib.crc32(np.array(x[1], "<u4").tobytes()) == r["ids_crc32"])
+        left.remove(match)
+        assert (r["start"], r["n_tokens"]) == (at, len(match[1]))
+        at += r["n_tokens"]
+    assert not left
+    assert repair.encode_and_read_back(docs.limit(0), PATH, end_id=2).count() == 0
+
+
+def test_grammar_round_trip_and_random_access():
+    rng = random.Random(5)
+    phrases = [[rng.randrange(50000) for _ in range(rng.randrange(2, 9))] for _ in range(30)]
+    for n in (0, 1, 3, 400):
+        docs = [[t for _ in range(rng.randrange(1, 40)) for t in rng.choice(phrases)] + [2] for _ in range(n)]
+        ids = np.array([t for d in docs for t in d], np.uint32)
+        ends = np.cumsum([len(d) for d in docs]).astype(np.int64)
+        grammar, symbol_ends = repair.compress(ids, ends)
+        assert grammar.decode().tolist() == ids.tolist()
+        assert grammar.lengths.sum() == len(grammar.expansions()[0])
+        begin = 0
+        for doc, end in zip(docs, symbol_ends.tolist()):
+            assert grammar.decode(begin, end).tolist() == doc
+            begin = end
+        if n == 400:
+            assert len(grammar.rules) > 20 and len(grammar.symbols) < len(ids) / 2
+
+
+def check_pieces(rows, docs, window):
+    left = [(d, ids_of(t) + [1]) for d, t in docs]
+    pieces = {}
+    for r in rows:
+        pieces.setdefault((r["doc_id"], r["doc_tokens"]), []).append(r)
+    for d, ids in left:
+        for start in range(0, len(ids), window):
+            part = ids[start : start + window]
+            crc = zlib.crc32(np.array(part, "<u4").tobytes())
+            group = pieces[d, len(ids)]
+            group.remove(next(p for p in group if (p["start"], p["length"], p["ids_crc32"]) == (start, len(part), crc)))
+    assert not any(pieces.values())
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= window
+    return len(sequences)
+
+
+def test_packing(docs):
+    check_pieces(packing.pack(docs, PATH, end_id=1, window=64).collect(), DOCS, 64)
+    assert packing.pack(docs.limit(0), PATH, end_id=1).count() == 0
+
+
+def test_plan_fills_windows():
+    rng = np.random.default_rng(3)
+    histogram = np.zeros(256, np.int64)
+    np.add.at(histogram, rng.integers(1, 256, 20_000), 1)
+    histogram[64] += 9_000  # one length holds a third
+    table, sequences = packing.plan(histogram, 256)
+    for length in range(1, 256):  # each piece has its slot, without gaps
+        slots = table[table[:, 0] == length]
+        assert slots[:, 2].sum() == histogram[length]
+        assert (slots[:, 1] == np.cumsum(slots[:, 2]) - slots[:, 2]).all()
+    tokens = int((histogram * np.arange(256)).sum())
+    assert sequences * 256 < 1.01 * tokens + 256
