@@ -1,9 +1,9 @@
 """Operators on the browsing events of a session.
 
-A session may hold any share of all events, so no step sorts the events of a whole session in one task. Counts, first
-and last times are plain aggregates. Gaps between events are added up in three steps of falling size: events of one
-second are merged before the shuffle (their gaps are zero, as each side is cut to whole seconds), then the at most
-86,400 seconds of a day are put in order, then the days of a session.
+Counts, first and last times are plain aggregates. For gaps between events, the events of an ordinary session are
+ordered in one window after one shuffle. A session may hold any share of all events, so those of heavy sessions are
+handled in three steps of falling size: events of one second, then the at most 86,400 seconds of a day, then the days of
+a session. Both ways give the same rows.
 
 Events at the same instant have no given order. Here a browsing event comes first and takes the gap.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskflow.constants import BROWSING_EVENTS
 from riskflow.functions import columns as X
-from riskflow.operators.skew import COPIES_PER_CHUNK, Heavy, heavy_keys, lookup
+from riskflow.operators.skew import COPIES_PER_CHUNK, Heavy, heavy_keys, lookup, split_rows
 
 LEVELS = ["L1", "L2", "L3"]
 COUNTS = ["L1_count", "L2_count", "L3_count"]
@@ -33,7 +33,7 @@ def session_event_join(transactions: DataFrame, events: DataFrame, heavy: Heavy
     information.
     """
     by_type = events.groupBy("session_id", "event_type").agg(F.count(F.lit(1)).alias("events"))
-    heavy = heavy or heavy_keys(transactions, "session_id")
+    heavy = heavy if heavy is not None else heavy_keys(transactions, "session_id")
     return lookup(transactions, by_type, "session_id", heavy["session_id"], spread_by="transaction_id")
 
 
@@ -48,7 +48,7 @@ def session_level_counts(events: DataFrame) -> DataFrame:
 
 def event_level_pivot(transactions: DataFrame, events: DataFrame, heavy: Heavy | None = None) -> DataFrame:
     """Number of events of each level per transaction id, for ids whose session has events."""
-    heavy = heavy or heavy_keys(transactions, "session_id")
+    heavy = heavy if heavy is not None else heavy_keys(transactions, "session_id")
     matched = lookup(
         transactions.select("transaction_id", "session_id"),
         session_level_counts(events),
@@ -65,7 +65,7 @@ def add_event_level_features(transactions: DataFrame, events: DataFrame, heavy:
     `heavy` are the heavy keys, measured on `transactions` if not given; measure them on a stored table when
     `transactions` is derived.
     """
-    heavy = heavy or heavy_keys(transactions, "session_id", "transaction_id")
+    heavy = heavy if heavy is not None else heavy_keys(transactions, "session_id", "transaction_id")
     counts = event_level_pivot(transactions, events, heavy).select(
         "transaction_id", *[F.col(level).cast("int").alias(count) for level, count in zip(LEVELS, COUNTS)]
     )
@@ -100,21 +100,52 @@ def _is_listed(browsing_events: Sequence[str]) -> Column:
     return F.coalesce(F.col("event_type").isin(list(browsing_events)), F.lit(False))
 
 
-def session_rollup(events: DataFrame, browsing_events: Sequence[str] = BROWSING_EVENTS) -> DataFrame:
+def session_rollup(
+    events: DataFrame, browsing_events: Sequence[str] = BROWSING_EVENTS, heavy: Heavy | None = None
+) -> DataFrame:
     """One row per session: level counts, first and last time, browsing seconds and number of browsing events.
 
-    Gives everything the feature table needs from the events in one scan.
+    Gives everything the feature table needs from the events. `heavy` are the heavy sessions, measured on `events` if not
+    given.
     """
+    heavy = heavy if heavy is not None else heavy_keys(events, "session_id")
+    rows = events.filter("session_id is not null")
+    if not heavy["session_id"]:
+        return _rollup_in_window(rows, browsing_events)
+    usual, large = split_rows(rows, "session_id", heavy["session_id"])
+    return _rollup_in_window(usual, browsing_events).unionByName(_rollup_in_steps(large, browsing_events))
+
+
+def _moments(events: DataFrame, browsing_events: Sequence[str]) -> DataFrame:
+    return events.select(
+        "session_id",
+        F.expr("cast(event_time as long) as second"),
+        F.expr("unix_micros(event_time) as micros"),
+        X.event_level(F.col("event_type")).alias("level"),
+        _is_listed(browsing_events).alias("listed"),
+    )
+
+
+def _rollup_in_window(events: DataFrame, browsing_events: Sequence[str]) -> DataFrame:
+    before = Window.partitionBy("session_id").orderBy("micros", F.col("listed").desc())
+    return (
+        _moments(events, browsing_events)
+        .withColumn("spent", F.when(F.col("listed"), F.col("second") - F.lag("second").over(before)))
+        .groupBy("session_id")
+        .agg(
+            *[F.expr(f"count_if(level = '{name}') as {name}") for name in LEVELS],
+            F.expr("count_if(listed) as listed"),
+            F.expr("timestamp_micros(min(micros)) as start_time"),
+            F.expr("timestamp_micros(max(micros)) as finish_time"),
+            F.expr("coalesce(sum(spent), 0L) as total_browsing_time"),
+        )
+    )
+
+
+def _rollup_in_steps(events: DataFrame, browsing_events: Sequence[str]) -> DataFrame:
     sums = [F.expr(f"sum({name}) as {name}") for name in [*LEVELS, "listed"]]
     seconds = (
-        events.filter("session_id is not null")
-        .select(
-            "session_id",
-            F.expr("cast(event_time as long) as second"),
-            F.expr("unix_micros(event_time) as micros"),
-            X.event_level(F.col("event_type")).alias("level"),
-            _is_listed(browsing_events).alias("listed"),
-        )
+        _moments(events, browsing_events)
         .groupBy("session_id", "second")
         .agg(
             *[F.expr(f"count_if(level = '{name}') as {name}") for name in LEVELS],
@@ -156,11 +187,12 @@ def session_rollup(events: DataFrame, browsing_events: Sequence[str] = BROWSING_
     )
 
 
-def session_browsing_time(events: DataFrame, browsing_events: Sequence[str] = BROWSING_EVENTS) -> DataFrame:
+def session_browsing_time(
+    events: DataFrame, browsing_events: Sequence[str] = BROWSING_EVENTS, heavy: Heavy | None = None
+) -> DataFrame:
     """Browsing seconds of each session that has a browsing event."""
-    return (
-        session_rollup(events, browsing_events).filter("listed > 0").select("session_id", "total_browsing_time")
-    )
+    rollup = session_rollup(events, browsing_events, heavy)
+    return rollup.filter("listed > 0").select("session_id", "total_browsing_time")
 
 
 def calculate_browsing_time(
@@ -173,31 +205,61 @@ def calculate_browsing_time(
 
     Rows whose session has no browsing event are dropped.
     """
-    heavy = heavy or heavy_keys(features, "session_id")
+    heavy = heavy if heavy is not None else heavy_keys(features, "session_id")
     times = session_browsing_time(events, browsing_events)
     return lookup(features, times, "session_id", heavy["session_id"], spread_by="transaction_id")
 
 
-def event_gaps(events: DataFrame, browsing_events: Sequence[str] = BROWSING_EVENTS) -> DataFrame:
+def event_gaps(
+    events: DataFrame, browsing_events: Sequence[str] = BROWSING_EVENTS, heavy: Heavy | None = None
+) -> DataFrame:
     """Each event with the time of the event before it in the session, and the whole seconds between the two.
 
-    Equal events are counted first, so copies cost one row each in the window, which runs over one hour of a session.
-    Every hour starts from the last time of the hours before it.
+    Events without a session are one session of their own. Events without a time come first in theirs; neither they nor
+    the first event with a time have a gap. `heavy` are the heavy sessions, measured on `events` if not given.
     """
-    hour = F.floor(F.col("event_time").cast("long") / 3_600)
-    events = events.filter("session_id is not null and event_time is not null")
-    across_hours = Window.partitionBy("session_id").orderBy("hour")
+    heavy = heavy if heavy is not None else heavy_keys(events, "session_id")
+    rows = events.select("session_id", "event_type", "event_time")
+    usual, large = split_rows(rows, "session_id", heavy["session_id"]) if heavy["session_id"] else (rows, None)
+    in_session = Window.partitionBy("session_id").orderBy(
+        "event_time", F.when(_is_listed(browsing_events), 1).otherwise(2), "event_type"
+    )
+    found = usual.withColumn("previous_event_time", F.lag("event_time").over(in_session))
+    if large is not None:
+        found = found.unionByName(_gaps_in_steps(large, browsing_events))
+    return found.withColumn(
+        "time_spent", F.col("event_time").cast("long") - F.col("previous_event_time").cast("long")
+    )
+
+
+def _gaps_in_steps(events: DataFrame, browsing_events: Sequence[str]) -> DataFrame:
+    """The time before each event of heavy sessions.
+
+    Equal events are counted first, so copies cost one row each in the window, which runs over one second of a session.
+    Every second starts from the last time of the seconds before it, every day from that of the days before it.
+    """
+    second = F.col("event_time").cast("long")
+    in_day, across_days = Window.partitionBy("session_id", "day").orderBy("second"), Window.partitionBy("session_id").orderBy("day")
+    seconds = (
+        events.groupBy("session_id", second.alias("second"))
+        .agg(F.max("event_time").alias("last_time"))
+        .withColumn("day", F.floor(F.col("second") / 86_400))
+    )
+    days = (
+        seconds.groupBy("session_id", "day")
+        .agg(F.max("last_time").alias("last_time"), F.min("second").alias("second"))
+        .select("session_id", "second", F.lag("last_time").over(across_days).alias("event_time"))
+    )
     starts = (
-        events.groupBy("session_id", hour.alias("hour"))
-        .agg(F.max("event_time").alias("event_time"))
-        .select("session_id", "hour", F.lag("event_time").over(across_hours).alias("event_time"))
+        seconds.select("session_id", "second", F.lag("last_time").over(in_day).alias("event_time"))
+        .unionByName(days)
         .filter("event_time is not null")
         .withColumns({"copies": F.lit(0).cast("long"), "piece": F.lit(0).cast("long")})
     )
     distinct = (
         events.groupBy("session_id", "event_type", "event_time")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("hour", hour)
+        .withColumn("second", second)
         # A large group of copies goes to several tasks; only its first piece needs the event before.
         .withColumn(
             "piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES_PER_CHUNK)))
@@ -207,17 +269,14 @@ def event_gaps(events: DataFrame, browsing_events: Sequence[str] = BROWSING_EVEN
         )
         .drop("n")
     )
-    in_hour = Window.partitionBy("session_id", "hour", "piece").orderBy(
+    in_second = Window.partitionBy("session_id", "second", "piece").orderBy(
         "event_time", F.when(F.col("copies") == 0, 0).when(_is_listed(browsing_events), 1).otherwise(2), "event_type"
     )
     before = F.when((F.col("piece") == 0) & (F.col("copy") == 1), F.col("before")).otherwise(F.col("event_time"))
     return (
         distinct.unionByName(starts, allowMissingColumns=True)
-        .withColumn("before", F.lag("event_time").over(in_hour))
+        .withColumn("before", F.lag("event_time").over(in_second))
         .filter("copies > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
         .select("session_id", "event_type", "event_time", before.alias("previous_event_time"))
-        .withColumn(
-            "time_spent", F.col("event_time").cast("long") - F.col("previous_event_time").cast("long")
-        )
     )

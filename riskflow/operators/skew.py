@@ -3,44 +3,88 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import StructType
+
+from riskflow.sources.storage import stored
 
 # A key with more rows than this is split over several tasks.
 ROWS_PER_TASK = 1_000_000
-# Number of heavy keys looked for. It bounds what the driver sees and what is broadcast; a key outside the first
-# thousand holds less than a thousandth of the rows.
-MAX_HEAVY_KEYS = 1_000
-TRACKED_KEYS = 20_000
+# Up to so many heavy keys are kept on the driver and broadcast; a longer list is a stored table and joined as one.
+LISTED_KEYS = 10_000
 MAX_PARTS = 100_000
 COPIES_PER_CHUNK = 65_536
 
-# For each key column: its heavy values, None among them, and the number of parts to split each into.
-Heavy = Mapping[str, Mapping[object, int]]
+
+@dataclass(frozen=True)
+class HeavyKeys:
+    """Heavy values of one key column with the number of parts to split each into; `nulls` are the parts of null."""
+
+    table: DataFrame | None = None  # (key, _parts), without null
+    nulls: int = 1
+
+    def __bool__(self) -> bool:
+        return self.table is not None or self.nulls > 1
+
+    def parts(self) -> dict:
+        """All heavy values and their parts, on the driver; for looking at, not for plans."""
+        rows = [tuple(r) for r in self.table.collect()] if self.table is not None else []
+        return dict(rows) | ({None: self.nulls} if self.nulls > 1 else {})
+
+
+Heavy = Mapping[str, HeavyKeys]
+
+
+class EvenKeys(dict):
+    """For callers that know that no key is heavy: nothing is measured and nothing is split."""
+
+    def __missing__(self, key: str) -> HeavyKeys:
+        return HeavyKeys()
 
 
 def heavy_keys(df: DataFrame, *keys: str, rows_per_task: int | None = None) -> Heavy:
-    """Values of each key column with more than `rows_per_task` (ROWS_PER_TASK) rows.
+    """Values of each key column with more than `rows_per_task` (ROWS_PER_TASK) rows, however many there are.
 
-    One job over the key columns. Each task keeps a frequent-items sketch, only sketches are shuffled, and at most
-    MAX_HEAVY_KEYS values per column come back. The result steers how joins are split, not what they return.
+    One job over the key columns; counts are merged before they are shuffled. The result steers how joins are split,
+    not what they return.
     """
     limit = rows_per_task or ROWS_PER_TASK
-    top = df.select(*keys).agg(
-        *[F.expr(f"approx_top_k(`{key}`, {MAX_HEAVY_KEYS}, {TRACKED_KEYS})").alias(key) for key in keys]
-    )
-    counts = top.first()
-    return {
-        key: {r["item"]: min(-(-r["count"] // limit), MAX_PARTS) for r in counts[key] or [] if r["count"] > limit}
-        for key in keys
-    }
-
-
-def _parts_table(df: DataFrame, key: str, heavy: Mapping[object, int], name: str) -> DataFrame:
-    schema = StructType([df.schema[key]]).add(name, "integer")
-    rows = [(value, parts) for value, parts in heavy.items() if value is not None]
-    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+    values = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.col(k).cast("string").alias("value")) for k in keys])).alias("k")
+    counted = df.select(values).groupBy("k.name", "k.value").count().filter(F.col("count") > limit)
+    parts = F.least(F.ceil(F.col("count") / limit), F.lit(MAX_PARTS)).cast("int").alias("_parts")
+    found = counted.select("name", "value", parts)
+    listed = found.take(LISTED_KEYS + 1)
+    if len(listed) > LISTED_KEYS:
+        found = stored(found)
+        nulls = {r["name"]: r["_parts"] for r in found.filter("value is null").collect()}  # one row per column at most
+        return {k: HeavyKeys(_typed(found.filter((F.col("name") == k) & F.col("value").isNotNull()), df, k), nulls.get(k, 1)) for k in keys}
+    out = {}
+    for k in keys:
+        rows = [(r["value"], r["_parts"]) for r in listed if r["name"] == k and r["value"] is not None]
+        table = df.sparkSession.createDataFrame(rows, "value string, _parts int") if rows else None
+        nulls = [r["_parts"] for r in listed if r["name"] == k and r["value"] is None]
+        out[k] = HeavyKeys(F.broadcast(_typed(table, df, k)) if rows else None, nulls[0] if nulls else 1)
+    return out
+
+
+def _typed(found: DataFrame, df: DataFrame, key: str) -> DataFrame:
+    return found.select(F.col("value").cast(df.schema[key].dataType).alias(key), "_parts")
+
+
+def _with_parts(df: DataFrame, key: str, heavy: HeavyKeys) -> DataFrame:
+    if heavy.table is None:
+        return df.withColumn("_parts", F.lit(None).cast("int"))
+    return df.join(heavy.table, key, "left")
+
+
+def split_rows(df: DataFrame, key: str, heavy: HeavyKeys) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key is not heavy, and those whose key is."""
+    is_heavy = F.col("_parts").isNotNull()
+    if heavy.nulls > 1:
+        is_heavy |= F.col(key).isNull()
+    rows = _with_parts(df, key, heavy)
+    return rows.filter(~is_heavy).drop("_parts"), rows.filter(is_heavy).drop("_parts")
 
 
 def task_salt(parts: Column | int, *spread_by: str) -> Column:
@@ -49,32 +93,28 @@ def task_salt(parts: Column | int, *spread_by: str) -> Column:
     return F.pmod(F.xxhash64(F.spark_partition_id(), *spread_by), parts.cast("long")).cast("int")
 
 
-def in_parts(df: DataFrame, key: str, heavy: Mapping[object, int], name: str) -> DataFrame:
-    """Repeat each row once per part of its key, numbered in column `name`."""
-    return (
-        df.join(_parts_table(df, key, heavy, "_parts"), key, "left")
-        .withColumn(name, F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
-        .drop("_parts")
-    )
+def in_parts(df: DataFrame, key: str, heavy: HeavyKeys, name: str, flag: str | None = None) -> DataFrame:
+    """Repeat each row once per part of its key, numbered in column `name`; `flag` tells which keys are heavy."""
+    rows = _with_parts(df, key, heavy)
+    if flag:
+        rows = rows.withColumn(flag, F.col("_parts").isNotNull())
+    return rows.withColumn(name, F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
 
 
-def to_part(
-    df: DataFrame, key: str, heavy: Mapping[object, int], name: str, spread_by: str | None = None
-) -> DataFrame:
+def to_part(df: DataFrame, key: str, heavy: HeavyKeys, name: str, spread_by: str | None = None) -> DataFrame:
     """Give each row one part of its key, in column `name`."""
     spread = [spread_by] if spread_by else []
-    nulls = heavy.get(None, 1)
     salt = F.when(F.col("_parts").isNotNull(), task_salt(F.coalesce("_parts", F.lit(1)), *spread)).otherwise(0)
-    if nulls > 1:
-        salt = F.when(F.col(key).isNull(), task_salt(nulls, *spread)).otherwise(salt)
-    return df.join(_parts_table(df, key, heavy, "_parts"), key, "left").withColumn(name, salt).drop("_parts")
+    if heavy.nulls > 1:
+        salt = F.when(F.col(key).isNull(), task_salt(heavy.nulls, *spread)).otherwise(salt)
+    return _with_parts(df, key, heavy).withColumn(name, salt).drop("_parts")
 
 
 def lookup(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    heavy: Mapping[object, int],
+    heavy: HeavyKeys,
     how: str = "inner",
     spread_by: str | None = None,
 ) -> DataFrame:

@@ -8,15 +8,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskflow.functions import columns as X
 from riskflow.operators.skew import Heavy, first_per_key, heavy_keys, in_parts, lookup, repeat_rows, to_part
+from riskflow.schemas import SCHEMAS
 
 # Which row stands for a customer id that occurs more than once.
 CUSTOMER_ORDER = ["first_join_date", "age", "gender"]
 
 
-def transaction_order(item_hash: Column | None = None) -> list[Column]:
-    """Which row stands for a transaction id that occurs more than once: the first in this order."""
+def row_hash(transactions: DataFrame) -> Column:
+    """One hash over all transaction columns that a table has."""
+    own = {name for name in transactions.columns if name in SCHEMAS["transactions"].fieldNames()}
+    return F.xxhash64(*sorted(own))
+
+
+def transaction_order(whole_row: Column, item_hash: Column | None = None) -> list[Column]:
+    """Which row stands for a transaction id that occurs more than once: the first in this order.
+
+    `whole_row` comes last, so that the order is total: rows that tie are equal in all transaction columns.
+    """
     item_hash = F.xxhash64("product_metadata") if item_hash is None else item_hash
-    return [F.col("session_id"), F.col("created_at"), F.col("customer_id"), item_hash, F.col("total_amount")]
+    return [F.col("session_id"), F.col("created_at"), F.col("customer_id"), item_hash, F.col("total_amount"), whole_row]
 
 
 def transaction_items(transactions: DataFrame) -> DataFrame:
@@ -37,7 +47,7 @@ def purchases(transactions: DataFrame) -> DataFrame:
 
 def add_purchases_count(features: DataFrame, transactions: DataFrame, heavy: Heavy | None = None) -> DataFrame:
     """Add purchases_count; rows without a readable item are dropped."""
-    heavy = heavy or heavy_keys(features, "transaction_id")
+    heavy = heavy if heavy is not None else heavy_keys(features, "transaction_id")
     return lookup(features, purchases(transactions), "transaction_id", heavy["transaction_id"])
 
 
@@ -66,7 +76,8 @@ def one_profile_per_customer(customers: DataFrame, as_of: dt.date | None = None)
 
 def dedup_transactions(features: DataFrame) -> DataFrame:
     """One row per transaction id, the first in `transaction_order`."""
-    return first_per_key(features, "transaction_id", transaction_order())
+    order = [*transaction_order(row_hash(features)), F.xxhash64(*sorted(features.columns))]
+    return first_per_key(features, "transaction_id", order)
 
 
 def enrich_feature_data(
@@ -80,7 +91,7 @@ def enrich_feature_data(
 
     Rows without a session in `session_times` or without a customer are dropped.
     """
-    heavy = heavy or heavy_keys(features, "session_id", "customer_id")
+    heavy = heavy if heavy is not None else heavy_keys(features, "session_id", "customer_id")
     profiles = one_profile_per_customer(customers, as_of)
     rows = add_geolocation(features)
     rows = lookup(rows, session_times, "session_id", heavy["session_id"], spread_by="transaction_id")
@@ -91,7 +102,7 @@ def enrich_feature_data(
 def spread_for_labels(features: DataFrame, heavy_labels: Heavy) -> DataFrame:
     """Repeat a row once per part of a heavy label id, so that its copies are made in several tasks."""
     heavy = heavy_labels["transaction_id"]
-    return in_parts(features, "transaction_id", heavy, "label_part") if heavy else features
+    return in_parts(features, "transaction_id", heavy, "label_part", "label_heavy") if heavy else features
 
 
 def label_keys(heavy_labels: Heavy) -> list[str]:
@@ -109,24 +120,22 @@ def attach_labels(spread: DataFrame, labels: DataFrame, heavy_labels: Heavy) ->
     )
     rows = spread.join(counted, keys, "left")
     if heavy:
-        # A later part that got no label is not an unlabelled row: the id has labels in other parts. The first part
-        # of an id that is not heavy always stays.
-        known = list({i for i in heavy if i is not None})
-        rows = rows.filter(F.col("_labels").isNotNull() | ~F.coalesce(F.col("transaction_id").isin(known), F.lit(False)))
+        # A part that got no label is not an unlabelled row: a heavy id has labels in other parts.
+        rows = rows.filter("_labels is not null or not label_heavy")
     return (
         repeat_rows(rows.withColumn("_labels", F.coalesce("_labels", F.lit(1))), "_labels", "_number")
         .withColumn("is_fraud", F.when(F.col("_number") <= F.col("_frauds"), 1).otherwise(0))
-        .drop("label_part", "_labels", "_frauds", "_number")
+        .drop("label_part", "label_heavy", "_labels", "_frauds", "_number")
     )
 
 
-def add_fraud_labels(features: DataFrame, labels: DataFrame) -> DataFrame:
+def add_fraud_labels(features: DataFrame, labels: DataFrame, heavy: Heavy | None = None) -> DataFrame:
     """Add is_fraud: 1 where the label is exactly "true", else 0, also without a label.
 
     An id with several labels gives one row per label. Rows of `features` are expected to be spread over ids, as
     they are after `enrich_feature_data`.
     """
-    heavy = heavy_keys(labels, "transaction_id")
+    heavy = heavy if heavy is not None else heavy_keys(labels, "transaction_id")
     return attach_labels(spread_for_labels(features, heavy), labels, heavy)
 
 

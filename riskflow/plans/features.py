@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from riskflow import constants as C
@@ -33,18 +33,17 @@ def feature_table(
     states that transaction_id does not repeat, and the steps that merge rows of one id are left out.
     """
     transactions = transactions.filter("transaction_id is not null")
-    heavy = heavy_keys(transactions, "session_id", "customer_id", *([] if unique_ids else ["transaction_id"]))
+    heavy = heavy_keys(transactions, "session_id", "customer_id")
     heavy_labels = heavy_keys(labels, "transaction_id")
     id_keys = T.label_keys(heavy_labels)
     sessions = S.session_rollup(events, browsing_events).withColumn("in_session", F.lit(True))
     profiles = T.one_profile_per_customer(customers, as_of).withColumn("known_customer", F.lit(True))
     how = "inner" if unique_ids else "left"
 
-    def joined(part: DataFrame) -> DataFrame:
-        rows = _sold(part, columns)
-        rows = lookup(rows, sessions, "session_id", heavy["session_id"], how, spread_by="transaction_id")
-        rows = lookup(rows, profiles, "customer_id", heavy["customer_id"], how, spread_by="transaction_id")
-        return T.spread_for_labels(rows, heavy_labels)
+    rows = _sold(transactions, columns)
+    rows = lookup(rows, sessions, "session_id", heavy["session_id"], how, spread_by="transaction_id")
+    rows = lookup(rows, profiles, "customer_id", heavy["customer_id"], how, spread_by="transaction_id")
+    rows = T.spread_for_labels(rows, heavy_labels)
 
     def finished(rows: DataFrame) -> DataFrame:
         counts = [F.col(level).cast("int").alias(count) for level, count in zip(S.LEVELS, S.COUNTS)]
@@ -52,16 +51,7 @@ def feature_table(
         rows = S.add_event_level_ratios(S.with_session_clock(rows.select("*", *counts)))
         return T.add_account_and_promo_features(T.attach_labels(rows, labels, heavy_labels), as_of).select(*columns)
 
-    if unique_ids:
-        return finished(joined(transactions))
-    heavy_ids = list(heavy["transaction_id"])
-    if not heavy_ids:
-        return finished(_merge_in_window(joined(transactions), id_keys))
-    # An id with very many rows is merged by aggregation, which needs no task that holds all its rows. The window is
-    # cheaper for the rest.
-    is_heavy = F.col("transaction_id").isin(heavy_ids)
-    usual = finished(_merge_in_window(joined(transactions.filter(~is_heavy)), id_keys))
-    return usual.unionByName(finished(_merge_by_aggregation(joined(transactions.filter(is_heavy)), id_keys)))
+    return finished(rows if unique_ids else _merged(rows, id_keys))
 
 
 def _sold(transactions: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -74,6 +64,7 @@ def _sold(transactions: DataFrame, columns: Sequence[str]) -> DataFrame:
             *[c for c in transactions.columns if c in needed],
             "geolocation",
             F.xxhash64("product_metadata").alias("item_hash"),
+            T.row_hash(transactions).alias("row_hash"),
             F.greatest(F.size("quantities"), F.lit(0)).alias("items"),
             X.array_total(F.col("quantities")).alias("pieces"),
         )
@@ -84,23 +75,15 @@ SUMMED = [*S.LEVELS, "pieces", "items"]
 COMPLETE = "in_session and known_customer"
 
 
-def _merge_in_window(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per id: events and pieces summed over all its rows, the rest from its first complete row."""
-    order = [F.expr(f"if({COMPLETE}, 0, 1)"), *T.transaction_order(F.col("item_hash"))]
-    ranked = Window.partitionBy(*keys).orderBy(*order)
-    whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return (
-        rows.withColumns({"rank": F.row_number().over(ranked), **{c: F.sum(c).over(whole) for c in SUMMED}})
-        .filter(f"rank = 1 and {COMPLETE}")
-        .drop("rank")
-    )
+def _merged(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per id: events and pieces summed over all its rows, the rest from its first complete row.
 
-
-def _merge_by_aggregation(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The same as `_merge_in_window`, with rows of one id merged before the shuffle as well as after it."""
+    Rows of one id are merged before the shuffle as well as after it, so no task has to hold all of them.
+    """
     kept = [c for c in rows.columns if c not in [*keys, *SUMMED]]
     complete = F.expr(COMPLETE)
-    order = F.struct(*[c.alias(f"order_{i}") for i, c in enumerate(T.transaction_order(F.col("item_hash")))])
+    order = T.transaction_order(F.col("row_hash"), F.col("item_hash"))
+    order = F.struct(*[c.alias(f"order_{i}") for i, c in enumerate(order)])
     merged = rows.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in SUMMED],
         F.min_by(F.when(complete, F.struct(*kept)), F.when(complete, order)).alias("kept"),
@@ -131,15 +114,17 @@ def preprocess_data(
     data_paths: Mapping[str, str],
     schemas: Mapping[str, StructType] = SCHEMAS,
     as_of: dt.date | None = None,
+    csv_options: Mapping[str, str] | None = None,
     **feature_options: object,
 ) -> DataFrame:
-    """The feature table from CSV files."""
-    tables = load_data(spark, data_paths, schemas)
+    """The feature table from CSV files. `csv_options` go to the reader, such as `escape='"'` for doubled quotes."""
+    options = dict(csv_options or {})
+    tables = load_data(spark, data_paths, schemas, **options)
     return feature_table(
         tables["transactions"],
         tables["browsing_behaviour"],
         tables["customer"],
-        read_labels(spark, data_paths["fraud_transaction"]),
+        read_labels(spark, data_paths["fraud_transaction"], **options),
         as_of,
         **feature_options,
     )

@@ -32,9 +32,9 @@ def load_data(
     return {name: read_csv(spark, path, schemas[name], **options) for name, path in known.items()}
 
 
-def read_labels(spark: SparkSession, path: str) -> DataFrame:
+def read_labels(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """Fraud labels as strings, columns taken from the header."""
-    return read_csv(spark, path)
+    return read_csv(spark, path, **options)
 
 
 def read_predictions(spark: SparkSession, path: str, view: str | None = "predictions") -> DataFrame:
@@ -45,15 +45,33 @@ def read_predictions(spark: SparkSession, path: str, view: str | None = "predict
     return df
 
 
+def bucket_predicates(key: str, buckets: int) -> list[str]:
+    """Conditions that cut a table by the text of its key's last two characters' codes: one for each bucket.
+
+    Every row is in exactly one; a null or empty key is in bucket 0. The functions are those of common SQL databases.
+    """
+    last = f"coalesce(ascii(right({key}, 1)), 0) * 31 + coalesce(ascii(left(right({key}, 2), 1)), 0)"
+    return [f"mod({last}, {buckets}) = {i}" for i in range(buckets)]
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
     table: str = "predictions",
     properties: Mapping[str, str] | None = None,
     view: str | None = "predictions",
+    key: str = "transaction_id",
+    connections: int = 16,
+    one_connection: bool = False,
     **parallel: object,
 ) -> DataFrame:
-    """Predictions from a database table. `parallel` takes column, lowerBound, upperBound and numPartitions."""
+    """Predictions from a database table, read over several connections.
+
+    The table is cut into `connections` buckets of the text column `key`. `parallel` gives another cut: predicates, or
+    column, lowerBound, upperBound and numPartitions. A read in one task has to be asked for with `one_connection`.
+    """
+    if not parallel and not one_connection:
+        parallel = {"predicates": bucket_predicates(key, connections)}
     df = spark.read.jdbc(url, table, properties=dict(properties or {}), **parallel)
     if view:
         df.createOrReplaceTempView(view)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskflow import constants as C
 from riskflow.operators import ml, sampling
 from riskflow.plans import training
+from riskflow.sources import storage
 
 ROW = (
     "transaction_id string, payment_method string, age_bin string, account_age bigint, promo_code_used int, "
@@ -113,6 +114,21 @@ def test_train_save_load_and_evaluate(spark, labelled, scratch):
     assert before == after
 
 
-def test_stored_rows_use_the_session_checkpoint_folder(spark, scratch):
-    assert training.stored(spark.range(5)).count() == 5
-    assert f"{scratch}/checkpoints" in spark.sparkContext.getCheckpointDir()
+def test_stored_rows_use_the_shared_folder(spark, scratch, tmp_path):
+    df = storage.stored(spark.range(5).withColumn("x", F.lit(1)))
+    assert df.count() == 5 and f"{scratch}/checkpoints" in df.inputFiles()[0]
+    assert "ReadSchema: struct<x:int>" in df.select("x")._jdf.queryExecution().executedPlan().toString()
+    other = storage.stored(spark.range(3), str(tmp_path))
+    assert str(tmp_path) in other.inputFiles()[0]
+    storage.delete_stored(spark, str(tmp_path))
+    assert not list(tmp_path.iterdir())
+
+
+def test_a_cluster_without_a_shared_folder_raises(spark, monkeypatch):
+    class Cluster:
+        conf = type("conf", (), {"get": staticmethod(lambda *_: None)})
+        sparkContext = type("sc", (), {"master": "yarn", "applicationId": "a"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.work_dir(Cluster)
+    assert storage.work_dir(Cluster, "/shared").startswith("/shared/")

@@ -127,21 +127,33 @@ def random_events(seed, n=1500, sessions=12):
 def brute_gaps(events):
     by_session = defaultdict(list)
     for session, kind, time in events:
-        by_session[session].append((time, kind not in BROWSING_EVENTS, kind is not None, kind or "", kind))
+        by_session[session].append((time or dt.datetime.min, kind not in BROWSING_EVENTS, kind is not None, kind or "", kind))
     out = []
     for session, items in by_session.items():
         before = None
         for time, _, _, _, kind in sorted(items):
-            gap = None if before is None else int(time.timestamp() // 1) - int(before.timestamp() // 1)
+            time = None if time == dt.datetime.min else time
+            gap = None if before is None or time is None else int(time.timestamp() // 1) - int(before.timestamp() // 1)
             out.append((session, kind, time, before, gap))
             before = time
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_gaps_equal_brute_force(spark, seed, monkeypatch):
+def with_gaps_in_data(events):
+    """Also events without a session, without a time, and without both."""
+    rng = random.Random(9)
+    spots = [(None, 0), ("hot", 0), ("s1", 0), (None, 1)]
+    return events + [
+        (session, rng.choice(["HP", "AP", None]), at(rng.randrange(90_000)) if timed else None) for session, timed in spots * 15
+    ]
+
+
+# With a low limit all sessions are heavy, with one in between some are, with a high one none is.
+@pytest.mark.parametrize("seed,limit", [(1, 0), (2, 200), (2, 10**6)])
+def test_gaps_equal_brute_force(spark, seed, limit, monkeypatch):
     monkeypatch.setattr(S, "COPIES_PER_CHUNK", 7)
-    events = random_events(seed)
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", limit or 1)
+    events = with_gaps_in_data(random_events(seed))
     got = rows(
         S.event_gaps(events_df(spark, events).repartition(5)),
         "session_id", "event_type", "event_time", "previous_event_time", "time_spent",
@@ -149,8 +161,9 @@ def test_gaps_equal_brute_force(spark, seed, monkeypatch):
     assert got == sorted(brute_gaps(events), key=repr)
 
 
-@pytest.mark.parametrize("seed", [3, 4])
-def test_rollup_equals_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,limit", [(3, 1), (4, 200), (4, 10**6)])
+def test_rollup_equals_brute_force(spark, seed, limit, monkeypatch):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", limit)
     events = random_events(seed)
     expected = {}
     for session, kind, time, _, gap in brute_gaps(events):
@@ -188,7 +201,7 @@ def test_heavy_sessions_are_split_and_give_the_same_rows(spark, small_tasks):
     ).repartition(6)
     events = events_df(spark, random_events(6)).repartition(4)
     heavy = skew.heavy_keys(transactions, "session_id")["session_id"]
-    assert heavy["hot"] == heavy[None] == 20
+    assert heavy.parts() == {"hot": 20, None: 20}
     plain = transactions.join(S.session_level_counts(events), "session_id", "left")
     got = skew.lookup(transactions, S.session_level_counts(events), "session_id", heavy, "left")
     columns = ["transaction_id", "session_id", *S.LEVELS]
@@ -204,3 +217,38 @@ def test_session_event_join_counts_every_pair(spark, unit_transactions, unit_eve
     got = rows(S.session_event_join(unit_transactions, unit_events), "transaction_id", "session_id", "event_type", "events")
     pairs = unit_transactions.join(unit_events, "session_id").groupBy("transaction_id", "session_id", "event_type")
     assert got == rows(pairs.agg(F.count("*").alias("events")), "transaction_id", "session_id", "event_type", "events")
+
+
+def test_more_heavy_keys_than_are_listed(spark, monkeypatch):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 3)
+    rows_ = spark.range(9_000).selectExpr("concat('k', id % 1500) as session_id", "id as n")
+    left = rows_.unionByName(spark.sql("select cast(null as string) as session_id, id as n from range(100)"))
+    right = spark.range(1_500).selectExpr("concat('k', id) as session_id", "id as m")
+    expected = rows(left.join(right, "session_id", "left"), "session_id", "n", "m")
+    for listed in (10_000, 100):  # all on the driver, or as a stored table
+        monkeypatch.setattr(skew, "LISTED_KEYS", listed)
+        heavy = skew.heavy_keys(left, "session_id")["session_id"]
+        assert len(heavy.parts()) == 1_501 and set(heavy.parts().values()) == {2, 34}
+        assert rows(skew.lookup(left, right, "session_id", heavy, "left"), "session_id", "n", "m") == expected
+        parts = skew.to_part(left, "session_id", heavy, "part", "n").filter("session_id is not null")
+        assert parts.groupBy("session_id", "part").count().agg({"count": "max"}).first()[0] < 7
+
+
+def exchanges(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return sum(1 for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line and "hashpartitioning" in line)
+
+
+def test_ordinary_sessions_are_shuffled_once(spark, tmp_path):
+    events_df(spark, random_events(1)).repartition(4).write.parquet(str(tmp_path / "e"))
+    events = spark.read.parquet(str(tmp_path / "e"))
+    assert exchanges(S.session_rollup(events)) == 1
+    assert exchanges(S.event_gaps(events)) == 1
+
+
+def test_even_keys_are_not_measured(spark):
+    events = events_df(spark, random_events(2))
+    assert rows(S.session_rollup(events, heavy=skew.EvenKeys()), "session_id", "total_browsing_time") == rows(
+        S.session_rollup(events), "session_id", "total_browsing_time"
+    )

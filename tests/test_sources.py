@@ -5,12 +5,14 @@ import datetime as dt
 import os
 import random
 
+import duckdb
 import pytest
 from pyspark.errors import AnalysisException
 
 from riskflow import constants as C
 from riskflow.plans import scoring
 from riskflow.plans.features import preprocess_data
+from riskflow.plans.training import preprocess_and_train
 from riskflow.schemas import SCHEMAS
 from riskflow.sources import readers, sinks
 
@@ -90,6 +92,18 @@ def test_jdbc_options():
         {"properties": {"user": "u"}, "column": "clear_payment", "lowerBound": 0, "upperBound": 1, "numPartitions": 2},
     )
     assert reader.view == "predictions"
+    session = type("S", (), {"read": reader})()
+    readers.read_jdbc(session, "jdbc:x", connections=5)
+    assert len(reader.call[1]["predicates"]) == 5
+    readers.read_jdbc(session, "jdbc:x", one_connection=True)
+    assert reader.call == (("jdbc:x", "predictions"), {"properties": {}})
+
+
+def test_buckets_cover_a_table_once():
+    con = duckdb.connect()
+    con.execute("create table t as select 'id' || range as transaction_id from range(3000) union all select null union all select ''")
+    counts = [con.execute(f"select count(*) from t where {p}").fetchall()[0][0] for p in readers.bucket_predicates("transaction_id", 16)]
+    assert sum(counts) == 3002 and max(counts) < 2 * 3002 / 16
 
 
 @pytest.fixture(scope="module")
@@ -159,3 +173,23 @@ def test_scoring_run(spark, csv_inputs, scratch, monkeypatch):
 
     monkeypatch.setattr(scoring, "preprocess_and_train", fail)
     scoring.load_or_train(spark, csv_inputs, model)
+
+
+def test_runs_can_be_repeated(spark, csv_inputs, scratch, tmp_path):
+    places = spark.createDataFrame([("east", 0.0, 90.0), ("west", 0.0, -90.0)], "city string, lat double, lon double")
+    found = []
+    for parts in ("2", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        served = scoring.run_scoring(
+            spark, csv_inputs, csv_inputs, f"{scratch}/again{parts}", places, f"{scratch}/scored{parts}",
+            as_of=dt.date(2024, 6, 30), key="transaction_id", csv_options={"escape": '"'}, work_dir=str(tmp_path),
+        )
+        found.append(sorted(map(repr, served.collect())))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert found[0] == found[1]
+
+
+def test_training_returns_held_out_quality(spark, csv_inputs, scratch):
+    trained = preprocess_and_train(spark, csv_inputs, f"{scratch}/quality", key="transaction_id")
+    assert trained.quality["boosted"]["areaUnderROC"] > 0.9 and trained.quality["forest"]["accuracy"] > 0.8
+    assert len(list(trained)) == 2

@@ -1,6 +1,7 @@
 """Transaction and customer operators on hand-written rows."""
 
 import datetime as dt
+import itertools
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,6 +132,21 @@ def test_dedup_keeps_the_first_row(spark):
     assert rows(T.dedup_transactions(df), "transaction_id", "total_amount") == [("a", 2.0), ("b", 3.0)]
 
 
+def test_ties_do_not_depend_on_the_order_of_rows(spark):
+    t = dt.datetime(2024, 1, 1)
+    tied = [("a", "s1", t, 1, None, 1.0, method) for method in ("A", "B", "C")]
+    schema = (
+        "transaction_id string, session_id string, created_at timestamp, customer_id int, product_metadata string, "
+        "total_amount float, payment_method string"
+    )
+    found = set()
+    for order in itertools.permutations(tied):
+        for parts in (1, 3):
+            df = spark.createDataFrame(list(order), schema).repartition(parts)
+            found |= {r["payment_method"] for r in T.dedup_transactions(df).collect()}
+    assert len(found) == 1
+
+
 @pytest.mark.parametrize("copies", [1, 7, 8, 9, 25])
 def test_repeat_rows_numbers_every_copy(spark, monkeypatch, copies):
     monkeypatch.setattr(skew, "COPIES_PER_CHUNK", 8)
