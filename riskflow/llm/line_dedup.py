@@ -35,7 +35,8 @@ def with_chunks(docs: DataFrame, text_column: str) -> DataFrame:
     begun = rolled.withColumn("_s", F.when(F.col("_lines").isNotNull(), starts)).drop("_h", "_r")
     sizes = "zip_with(_s, concat(slice(_s, 2, size(_s) - 1), array(size(_lines))), (a, b) -> struct(a as a, b - a as n))"
     cut = begun.withColumn("_cuts", F.expr(sizes))
-    chunks = F.expr("transform(_cuts, c -> struct(array_join(slice(_lines, c.a + 1, c.n), '\n') as text, c.n as n))")
+    # _lines stands twice in the lambda, so that it is made once for a row and not for each chunk.
+    chunks = F.expr("transform(_cuts, c -> struct(array_join(slice(_lines, c.a + 1, c.n), '\n') as text, least(c.n, size(_lines)) as n))")
     return cut.withColumn("_chunks", chunks).withColumn("n_lines", F.coalesce(F.size("_lines"), F.lit(0))).drop("_s", "_cuts", "_lines")
 
 
@@ -47,7 +48,9 @@ def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 def _removals(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """For each document that loses chunks: its key and the numbers of these chunks."""
     keyed = _keyed(docs.select(id_column, text_column), id_column, text_column)
-    chunks = with_chunks(keyed, text_column).select(*_KEY, F.posexplode("_chunks").alias("nth", "_chunk"))
+    # The outer form: for the other one, Spark puts a filter on the size of _chunks, with all that makes it written out
+    # again and again, below.
+    chunks = with_chunks(keyed, text_column).select(*_KEY, F.posexplode_outer("_chunks").alias("nth", "_chunk"))
     chunks = chunks.select(*_KEY, "nth", F.col("_chunk.text").alias("chunk"), F.col("_chunk.n").alias("n"))
     # Chunks of two lines or more with something to be seen in them.
     chunks = chunks.filter("n > 1 and chunk rlike '[^ \\\\t\\\\r\\\\n]'").withColumn("_chunk_hash", F.xxhash64("chunk")).drop("n")
