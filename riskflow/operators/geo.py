@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from riskflow.operators.skew import heavy_keys, lookup
+from riskflow.sources.storage import stored
 
 # Level l has 2^l x 2^l cells. The first level is fixed small (1,024 cells); cells stay at one of these levels.
 LEAF_LEVELS = (5, 7, 9, 11)
@@ -214,4 +215,4 @@ def add_city_features(
 def nearest_place(
     points: DataFrame, places: DataFrame, lat_col: str = "lat", long_col: str = "lon"
 ) -> DataFrame:
-    return add_city_features(points, place_cells(places), lat_col, long_col)
+    return add_city_features(points, stored(place_cells(places)), lat_col, long_col)

@@ -322,8 +322,8 @@ def transaction_items(t: Inputs) -> DataFrame:
 
 
 @query(
-    """select transaction_id, list_sum(list_transform(from_json(product_metadata,
-      '[{"product_id":"INTEGER","quantity":"INTEGER","item_price":"INTEGER"}]'), lambda x: x.quantity)) as purchases_count
+    """select transaction_id, cast(list_sum(list_transform(from_json(product_metadata,
+      '[{"product_id":"INTEGER","quantity":"INTEGER","item_price":"INTEGER"}]'), lambda x: x.quantity)) as bigint) as purchases_count
     from transactions_v where product_metadata is not null""",
     "transactions",
 )

@@ -19,7 +19,7 @@ def duck(sf_dir):
 
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
-    "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN",
 }
 
 
