@@ -4,6 +4,9 @@ Each line has a hash, and a rolling hash goes over each line and the one before
 hash is smaller than its neighbours, which depends on four lines only: an insertion moves no boundary further away. A
 chunk has two lines or more. Hashes of chunks that certainly occur once need no shuffle; the others are grouped by the
 chunk's own bytes, the first occurrence stays and all others are removed.
+
+Chunks miss a repeated passage that shares its chunk with other lines. without_repeated_passages has a fine level as
+well: every two consecutive lines, and every line of 50 words or more, found by the same filter and compared by SHA-256.
 """
 
 from __future__ import annotations
@@ -14,10 +17,12 @@ from riskflow.llm.common import PlainNames, stored
 from riskflow.llm.exact_dedup import filter_of, repeated_cells, with_repeated
 
 _KEY = ["_id", "_hash"]
+# A line of so many words is looked at alone.
+LINE_WORDS = 50
 
 
-def with_chunks(docs: DataFrame, text_column: str) -> DataFrame:
-    """Adds _chunks: the texts of the chunks in order, and their number of lines. Null has none."""
+def _with_cuts(docs: DataFrame, text_column: str) -> DataFrame:
+    """Adds _lines, and _cuts: where the chunks begin and their number of lines."""
     lines = docs.withColumn("_lines", F.split(F.col(text_column), "\n", -1))
     hashed = lines.withColumn("_h", F.transform("_lines", F.md5))
     # The rolling hash of each line, as a hex string; strings are compared.
@@ -34,10 +39,15 @@ def with_chunks(docs: DataFrame, text_column: str) -> DataFrame:
     """)
     begun = rolled.withColumn("_s", F.when(F.col("_lines").isNotNull(), starts)).drop("_h", "_r")
     sizes = "zip_with(_s, concat(slice(_s, 2, size(_s) - 1), array(size(_lines))), (a, b) -> struct(a as a, b - a as n))"
-    cut = begun.withColumn("_cuts", F.expr(sizes))
+    return begun.withColumn("_cuts", F.expr(sizes)).drop("_s")
+
+
+def with_chunks(docs: DataFrame, text_column: str) -> DataFrame:
+    """Adds _chunks: the texts of the chunks in order, and their number of lines. Null has none."""
+    cut = _with_cuts(docs, text_column)
     # _lines stands twice in the lambda, so that it is made once for a row and not for each chunk.
     chunks = F.expr("transform(_cuts, c -> struct(array_join(slice(_lines, c.a + 1, c.n), '\n') as text, least(c.n, size(_lines)) as n))")
-    return cut.withColumn("_chunks", chunks).withColumn("n_lines", F.coalesce(F.size("_lines"), F.lit(0))).drop("_s", "_cuts", "_lines")
+    return cut.withColumn("_chunks", chunks).withColumn("n_lines", F.coalesce(F.size("_lines"), F.lit(0))).drop("_cuts", "_lines")
 
 
 def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -96,3 +106,62 @@ def without_repeated_chunks(docs: DataFrame, id_column: str = "doc_id", text_col
         F.size(gone).cast("long").alias("n_removed_chunks"),
     )
     return plain.restored(same, *new).unionByName(plain.restored(changed, *new))
+
+
+def _repeated_lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """For each document that loses lines: its key and the places of these lines, in order."""
+    keyed = _keyed(docs.select(id_column, text_column).filter(F.col(text_column).isNotNull()), id_column, text_column)
+    # Chunks of three lines or more (of two they are among the pairs), pairs of lines, long lines.
+    units = F.expr(f"""
+        concat(
+          transform(filter(_cuts, c -> c.n > 2), c -> struct(c.a as at, least(c.n, size(_lines)) as n, array_join(slice(_lines, c.a + 1, c.n), '\n') as text)),
+          transform(zip_with(slice(_lines, 1, size(_lines) - 1), slice(_lines, 2, size(_lines) - 1), (a, b) -> concat(a, '\n', b)),
+            (t, i) -> struct(i as at, 2 as n, t as text)),
+          filter(transform(_lines, (t, i) -> struct(i as at, 1 as n, t as text)),
+            u -> length(u.text) >= {2 * LINE_WORDS - 1} and regexp_count(u.text, '[^\\\\x20\\\\x09-\\\\x0D]+') >= {LINE_WORDS}))
+    """)
+    # The outer form, as for chunks.
+    rows = _with_cuts(keyed, text_column).select(*_KEY, F.explode_outer(units).alias("_unit")).select(*_KEY, "_unit.at", "_unit.n", "_unit.text")
+    rows = rows.filter("text rlike '[^ \\\\t\\\\r\\\\n]'").withColumn("_unit_hash", F.xxhash64("text"))
+    blocks = stored(repeated_cells(rows.select("_unit_hash")), "filter")
+    maybe = with_repeated(rows, "_unit_hash", blocks, "_repeated").filter("_repeated")
+    maybe = stored(maybe.select(*_KEY, "at", "n", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest")).distinct(), "units")
+    place = F.struct(*_KEY, "at")
+    groups = maybe.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").drop("rows")
+    # Both sides are stored, so that Spark can split a frequent pair of lines.
+    removed = maybe.join(stored(groups, "groups"), "digest").filter(place != F.col("first"))
+    spans = removed.groupBy(*_KEY).agg(F.collect_set(F.struct("at", "n")).alias("_spans"))
+    return spans.select(*_KEY, F.expr("array_sort(array_distinct(flatten(transform(_spans, s -> sequence(s.at, s.at + s.n - 1)))))").alias("_gone"))
+
+
+def without_repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """`docs` with the text cleaned, and n_lines, n_removed_lines and n_removed_runs.
+
+    A line goes if it is in a chunk, or one of two consecutive lines, or alone has 50 words or more, and the same bytes
+    stand at an earlier place by id, hash of the text and position. So of repeated runs of two lines or more, nothing is
+    left after the first occurrence, and of each line some occurrence stays. Otherwise as without_repeated_chunks.
+    """
+    plain = PlainNames(docs.drop("n_lines", "n_removed_lines", "n_removed_runs"))
+    id_name, text_name = plain[id_column], plain[text_column]
+    removals = stored(_repeated_lines(plain.df, id_name, text_name), "removals")
+    touched = stored(filter_of(removals.select(F.xxhash64(*_KEY).alias("key"))), "filter")
+    keyed = _keyed(plain.df, id_name, text_name).withColumn("_row", F.xxhash64(*_KEY))
+    flagged = with_repeated(keyed, "_row", touched, "_touched").drop("_row")
+    lines = F.split(F.col(text_name), "\n", -1)
+    zero = F.lit(0).cast("long")
+    new = ["n_lines", "n_removed_lines", "n_removed_runs"]
+    same = flagged.filter("not _touched").withColumns(dict(zip(new, [F.coalesce(F.size(lines), F.lit(0)).cast("long"), zero, zero], strict=True)))
+    changed = flagged.filter("_touched").join(removals, _KEY, "left").withColumn("_gone", F.coalesce("_gone", F.array().cast("array<int>")))
+    changed = changed.withColumn("_lines", lines)
+    # The lines between two that go; _lines stands twice, as above.
+    kept = F.expr("""array_join(flatten(zip_with(concat(array(-1), _gone), concat(_gone, array(size(_lines))),
+        (a, b) -> slice(_lines, a + 2, least(b, size(_lines)) - a - 1))), '\n')""")
+    runs = F.expr("size(filter(zip_with(concat(array(-2), slice(_gone, 1, greatest(size(_gone) - 1, 0))), _gone, (a, b) -> b - a), d -> d > 1))")
+    changed = changed.select(
+        *[c for c in plain.df.columns if c != text_name],
+        F.when(F.size("_gone") > 0, kept).otherwise(F.col(text_name)).alias(text_name),
+        F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
+        F.size("_gone").cast("long").alias("n_removed_lines"),
+        F.when(F.size("_gone") > 0, runs).otherwise(0).cast("long").alias("n_removed_runs"),
+    )
+    return plain.restored(same, *new).unionByName(plain.restored(changed, *new))

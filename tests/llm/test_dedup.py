@@ -91,6 +91,55 @@ def test_line_chunks(spark):
     assert line_dedup.without_repeated_chunks(frame(spark, [])).count() == 0
 
 
+def brute_gone(rows):
+    """The lines that go, by their place, and of each text its lines."""
+    seen, gone, lines = {}, {}, {}
+    texts = sorted({(d, t) for d, t in rows if t is not None}, key=lambda x: -(2**63) if x[0] is None else x[0])
+    for d, t in texts:
+        split = lines[d, t] = t.split("\n")
+        gone[d, t], at = set(), 0
+        units = [(i, 2) for i in range(len(split) - 1)]
+        units += [(i, 1) for i, x in enumerate(split) if len(re.findall(r"[^\x20\x09-\x0D]+", x)) >= 50]
+        for chunk in brute_chunks(t):
+            units.append((at, len(chunk)))
+            at += len(chunk)
+        for i, n in sorted(units):
+            unit = tuple(split[i : i + n])
+            if (n > 1 or len(unit[0].split()) >= 50) and "".join(unit).strip(" \t\r\n"):
+                if seen.setdefault(unit, (d, t, i)) != (d, t, i):
+                    gone[d, t].update(range(i, i + n))
+    return gone, lines
+
+
+def test_short_passages(spark):
+    rng = random.Random(7)
+    rows = []
+    for size in range(1, 7):  # passages of 1 to 6 lines, between lines that differ
+        passage = [words(rng, 60 // size + 1) for _ in range(size)]
+        for i in range(8):
+            other = lambda: [words(rng, 9) for _ in range(rng.randrange(1, 5))]
+            rows.append((100 * size + i, "\n".join([*other(), *passage, *other()])))
+    rows += [(1, None), (2, ""), (3, "one line"), (4, "one line"), (5, "\n\n\n\n"), (6, "\n\n\n\n"), (None, rows[0][1]), (900, "a\r\n" * 3000), (901, "q\nq\nq"), (3, "one line"), (902, rows[9][1])]
+    rows += [(910, words(rng, 49)), (912, "x\n\n\n\n\n\ny"), (913, "x\n\n\n\n\n\ny"), (915, " ".join(["ü"] * 50)), (916, " ".join(["ü"] * 50))]
+    rows.append((911, rows[-5][1] + "\nelse"))
+    gone, lines = brute_gone(rows)
+    got = line_dedup.without_repeated_passages(frame(spark, rows))
+    assert got.columns == [*frame(spark, rows).columns, "n_lines", "n_removed_lines", "n_removed_runs"]
+    got = got.collect()
+    expected = []
+    for d, t in rows:
+        g = gone.get((d, t), set())
+        kept = None if t is None else "\n".join(x for i, x in enumerate(lines[d, t]) if i not in g)
+        expected.append((d, kept, len(lines.get((d, t), [])), len(g), sum(i - 1 not in g for i in g)))
+    assert sorted(repr((r["doc_id"], r["text"], r["n_lines"], r["n_removed_lines"], r["n_removed_runs"])) for r in got) == sorted(map(repr, expected))
+    # No line is lost, and nothing of the passages is left after their first occurrences. 49 words alone are too few.
+    left = Counter(x for r in got for x in (r["text"] or "").split("\n"))
+    assert all(x in left for _, t in rows for x in (t or "").split("\n"))
+    assert {len(x.split()) for x, n in left.items() if n > 1 and len(x.split()) >= 10} == {49}
+    assert {r["text"] for r in got if r["doc_id"] == 901} == {"q"}
+    assert line_dedup.without_repeated_passages(frame(spark, [])).count() == 0
+
+
 def brute_classes(rows, width, percent):
     sets = []
     for d, t in rows:
