@@ -24,15 +24,21 @@ BLOCKS = frozenset(
     """address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5
     h6 header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul""".split()
 )
-# Elements whose content is no text of the page.
-SKIPPED = frozenset("script style noscript template svg math textarea title iframe object select button canvas audio video".split())
+# Elements whose content is no markup and no text of the page. Without an end tag they go on to the end of the page.
+SKIPPED = frozenset("script style textarea title iframe".split())
+# Their text, shown in their place or where they cannot be shown, belongs to the block around them.
+REPLACED = frozenset("noscript svg object canvas audio video".split())
+# Nodes of the tree that do not end the text around them. What is in them is evidence for a button.
+CONTROLS = frozenset("button select".split())
+KIND = {"select": "button", "option": "button"}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # A start tag ends an open element of the same group.
-CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-SCOPES = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": set()}
+CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "button": {"button"}}
+SCOPES = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}, "button": BLOCKS | {"select"}}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|data-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_TEMPLATE = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|iframe)\b.*?(?:</\1\b[^>]*>|\Z)|<(/?)template(?:[\s/][^>]*)?>", re.S | re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -60,15 +66,30 @@ def _length(words: int) -> str:
     return f"words={min(words.bit_length(), 6)}"
 
 
+def _template_ends(page: str) -> dict[int, int]:
+    """Where the content of each template begins, and where its end tag ends. One without an end tag is not among them."""
+    ends, begun = {}, []
+    if "<template" in page.lower():
+        for tag in _TEMPLATE.finditer(page):
+            if tag.group(2) == "":
+                begun.append(tag.end())
+            elif tag.group(2) and begun:
+                ends[begun.pop()] = tag.end()
+    return ends
+
+
 def parse(page: str) -> list[Node]:
     """The nodes of a page in document order; parents come before their children."""
     nodes = [Node(-1, ["tag=#root"])]
-    stack: list[tuple[str, int]] = [("#root", 0)]
+    # Open elements: name, node, and for a control the text before it that goes on after it.
+    stack: list[tuple[str, int, tuple[list[str], int] | None]] = [("#root", 0, None)]
     pieces: list[str] = []
     linked = in_link = 0
     at, end = 0, len(page)
 
-    def flush() -> None:
+    templates = _template_ends(page)
+
+    def flush(top: int = -1) -> None:
         nonlocal linked
         if pieces:
             text = _SPACE.sub(" ", html.unescape("".join(pieces))).strip()
@@ -81,14 +102,29 @@ def parse(page: str) -> list[Node]:
                     _length(text.count(" ") + 1),
                     "links=" + ("no" if not linked else "all" if share > 0.8 else "some" if share > 0.25 else "few"),
                     "end=" + (last if last in ".!?:,\"" else "letter" if last.isalnum() else "mark"),
-                    "in=" + stack[-1][0],
+                    "in=" + KIND.get(stack[top][0], stack[top][0]),
                 ]
-                nodes.append(Node(stack[-1][1], features, text=text, linked=linked))
+                nodes.append(Node(stack[top][1], features, text=text, linked=linked))
         linked = 0
 
     def close(index: int) -> None:
-        flush()
-        del stack[index:]
+        nonlocal linked
+        while len(stack) > index:
+            flush()
+            before = stack.pop()[2]
+            if before:
+                pieces[:], linked = before
+
+    def flush_before() -> None:
+        """The text before open controls comes before that of blocks in them."""
+        nonlocal linked
+        inner = pieces[:], linked
+        for i, (_, _, before) in enumerate(stack):
+            if before and before[0]:
+                pieces[:], linked = before
+                stack[i] = stack[i][0], stack[i][1], ([], 0)
+                flush(i - 1)
+        pieces[:], linked = inner
 
     while at < end:
         token = _TOKEN.search(page, at)
@@ -111,24 +147,31 @@ def parse(page: str) -> list[Node]:
                 pieces.append(" ")
         elif name == "a":
             in_link = 0 if closing else 1
-        elif name == "br":
+        elif name == "br" or name in REPLACED:
             pieces.append(" ")
-        elif name in BLOCKS:
+        elif name == "template":
+            at = templates.get(at, at)
+            pieces.append(" ")
+        elif name in BLOCKS or name in CONTROLS:
             if closing:
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i][0] == name:
                         close(i)
                         break
                 else:
-                    flush()
+                    if name in BLOCKS:
+                        flush()
                 continue
-            flush()
+            if name in BLOCKS:
+                if name != "option":
+                    flush_before()
+                flush()
             for i in range(len(stack) - 1, 0, -1):
                 if name in CLOSES and stack[i][0] in CLOSES[name]:
                     close(i)
                 elif name in CLOSES and stack[i][0] in SCOPES[name]:
                     break
-            if stack[-1][0] == "p":
+            if stack[-1][0] == "p" and name in BLOCKS:
                 stack.pop()
             words, label = [], ""
             if rest:
@@ -138,9 +181,16 @@ def parse(page: str) -> list[Node]:
                         label = value
                     else:
                         words += [w.lower() for w in _WORD.findall(value)]
-            nodes.append(Node(stack[-1][1], [f"tag={name}", *(f"name={w}" for w in sorted(set(words)))], label))
-            if name not in VOID:
-                stack.append((name, len(nodes) - 1))
+            nodes.append(Node(stack[-1][1], [f"tag={KIND.get(name, name)}", *(f"name={w}" for w in sorted(set(words)))], label))
+            if name in CONTROLS:
+                if not rest.endswith("/"):
+                    stack.append((name, len(nodes) - 1, ([*pieces, " "], linked)))
+                    pieces.clear()
+                    linked = 0
+            elif name not in VOID:
+                stack.append((name, len(nodes) - 1, None))
+    flush_before()
+    close(1)
     flush()
     _add_link_shares(nodes)
     return nodes

@@ -123,6 +123,28 @@ def test_main_text(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+def test_text_in_and_after_embedded_elements():
+    model = html_text.train(labelled_pages.labelled_pages())
+    first, last = "The first paragraph of the text has some words in it.", "And this is what the last paragraph of it says."
+    around = "<html><body><nav class='menu'><a href='/'>Home</a></nav>{}<article><h1>A title</h1><p>%s</p>{}<p>%s</p></article></body></html>" % (first, last)
+    whole = f"A title\n\n{first}\n\n{last}"
+    tags = "button select object canvas audio video svg math noscript template".split()
+    for tag in tags:  # without an end tag nothing after it is lost, also if another one with an end tag follows
+        assert html_text.main_text(around.format(f"<div class='header'><{tag} class=x></div>", ""), model) == whole, tag
+        assert html_text.main_text(around.format("", f"<{tag}>"), model) == whole, tag
+        assert last in html_text.main_text(around.format(f"<{tag}>", f"<{tag}></{tag}>"), model), tag
+    for tag in "math svg object canvas audio video noscript".split():  # text of the article
+        got = html_text.main_text(around.format("", f"<p>Here we have <{tag}><b>some more</b></{tag}> text in the article.</p>"), model)
+        assert got == f"A title\n\n{first}\n\nHere we have some more text in the article.\n\n{last}", tag
+    dropped = ["<button>Share</button>", "<select><option>One<option>Two</select>", "<template><p>{{ text }}</p><template></template></template>"]
+    dropped += ["<script>x</script>", "<style>x</style>", "<textarea>x</textarea>", "<iframe>x</iframe>"]
+    for other in dropped:
+        assert html_text.main_text(around.format("", other), model) == whole, other
+        got = html_text.main_text(around.format("", f"<p>Here we have {other} the text of the article.</p>"), model)
+        assert got == f"A title\n\n{first}\n\nHere we have the text of the article.\n\n{last}", other
+    assert [n.text for n in html_text.parse("<p>a <button>b <div>c</div> d</p>e") if n.text] == ["a", "b", "c", "d", "e"]
+
+
 def test_main_text_of_unseen_pages():
     model = html_text.train(labelled_pages.labelled_pages())
     right = wrong = 0
