@@ -260,16 +260,36 @@ def near_duplicate_classes(
         large = left.filter(F.col("size") > BLOCK)
         if not large.isEmpty():
             links = links.unionByName(stored(_block_links(large, arrays, percent), "blocks"))
+    again = _ids_of_several_sets(base)
+    links = links.unionByName(_links_of_ids(base, again, nodes))
     labels = stored(components(links), "labels")
 
     classes = nodes.select("d1", "d2", "node").join(labels, "node", "left")
     classes = stored(classes.select("d1", "d2", F.coalesce("label", "node").alias("component_id")), "classes")
     keyed = base.select("doc_id", "n_shingles", "d1", "d2")
-    none = keyed.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     some = keyed.filter("n_shingles > 0 and doc_id is not null").join(classes, ["d1", "d2"])
+    # An empty set has the component of its id's other sets, if there are any.
+    of_ids = some.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("_of_id"))
+    none = keyed.filter("n_shingles = 0 or doc_id is null").join(of_ids, "doc_id", "left")
+    none = none.select("doc_id", "n_shingles", F.coalesce("_of_id", "doc_id").alias("component_id"))
     return some.select("doc_id", "n_shingles", "component_id").unionByName(none)
 
 
+def _ids_of_several_sets(base: DataFrame) -> DataFrame:
+    sets = base.filter("doc_id is not null").groupBy("doc_id")
+    sets = sets.agg(*(f(c).alias(f"_{f.__name__}_{c}") for c in ("n_shingles", "d1", "d2") for f in (F.min, F.max)))
+    several = " or ".join(f"_min_{c} < _max_{c}" for c in ("n_shingles", "d1", "d2"))
+    return stored(sets.filter(several).select("doc_id"), "repeated-ids")
+
+
+def _links_of_ids(base: DataFrame, again: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links between the nodes of one id: each with the smallest."""
+    rows = base.filter("n_shingles > 0").join(again, "doc_id", "left_semi").select("doc_id", "d1", "d2").distinct()
+    of_id = stored(rows.join(nodes.select("d1", "d2", "node"), ["d1", "d2"]).select("doc_id", "node"), "nodes-of-ids")
+    least = stored(of_id.groupBy("doc_id").agg(F.min("node").alias("b")), "least-nodes")
+    return of_id.join(least, "doc_id").select(F.col("node").alias("a"), "b").filter("a <> b")
+
+
 def _with_centres(members: DataFrame, arrays: DataFrame, percent: int, links: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """One round over tiles (tile, node): each node is compared with the most central member of its tiles.
 

@@ -200,6 +200,17 @@ def test_one_of_each_class_stays(spark):
     assert jaccard.keep_one_of_each_class(frame(spark, [])).count() == 0
 
 
+def test_ids_that_repeat_with_different_texts(spark):
+    rng = random.Random(3)
+    x, y, other = words(rng, 60), words(rng, 60), words(rng, 60)
+    rows = [(5, x), (5, y), (3, y.replace(" ", "\n")), (7, x + " more"), (7, ""), (7, None), (8, other), (9, ""), (9, None), (None, x), (2, other), (2, "")]
+    got = jaccard.near_duplicate_classes(frame(spark, rows), 3, 90).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, brute_classes(rows, 3, 90)))
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(5, 3), (3, 3), (7, 3), (8, 2), (2, 2), (9, 9), (None, None)}
+    kept = jaccard.keep_one_of_each_class(frame(spark, rows), 3, 90)
+    assert sorted(repr(r["doc_id"]) for r in kept.collect()) == ["2", "2", "3", "9", "9", "None"]
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(2)
     order = list(range(1000, 1200))
