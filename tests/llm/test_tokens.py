@@ -55,6 +55,18 @@ def test_counts_and_cache(spark, docs, scratch):
     assert token_counts.token_counts(docs.limit(0), PATH, 1024).count() == 0
 
 
+def test_second_call_appends_only_what_is_new(spark, docs, scratch):
+    path, appended = f"{scratch}/token-cache-of-changes", []
+    changed = [(d, f"{t} changed" if d == 1 else t) for d, t in DOCS] + [(11, "a new text"), (12, "a new text"), (13, "Hello world")]
+    for rows in (DOCS, changed):
+        frame = spark.createDataFrame([(d, t, "x", 1, 2) for d, t in rows], docs.schema)
+        found = token_counts.token_counts(frame, PATH, 1024, cache_path=path).collect()
+        assert sorted((r["n_bytes"], r["n_tokens"]) for r in found) == sorted((len((t or "").encode()), len(ids_of(t))) for _, t in rows)
+        appended.append(spark.read.parquet(path).count() - sum(appended))
+    # All distinct contents; then one changed and one new, all others are hits.
+    assert appended == [len({t or "" for _, t in DOCS}), 2]
+
+
 def test_files_are_read_back(docs):
     rows = repair.encode_and_read_back(docs, PATH, end_id=2).orderBy("start").collect()
     assert [r["doc_id"] for r in rows] == sorted((d for d, _ in DOCS), key=lambda d: -1 if d is None else d)
