@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskflow.llm import decontamination, exact_dedup, html_text, jaccard, langid, line_dedup, packing, repair, token_counts as counting, toxicity
+from riskflow.llm import decontamination, exact_dedup, html_text, jaccard, langid, line_dedup, packing, repair, runs, token_counts as counting, toxicity
 from riskflow.llm.tokens import VOCABULARY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_report(table(spark, sf_dir, "documents"))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = runs.with_planted_repetition(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return runs.digests(runs.find_runs(docs))
