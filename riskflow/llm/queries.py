@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskflow.llm import decontamination, exact_dedup, html_text, jaccard, langid, line_dedup, packing, repair, runs, token_counts as counting, toxicity
+from riskflow.llm import decontamination, exact_dedup, html_text, jaccard, langid, line_dedup, packing, repair, runs, token_counts as counting, toxicity, warc
 from riskflow.llm.tokens import VOCABULARY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,6 +141,24 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_report(table(spark, sf_dir, "documents"))
 
 
+@query(
+    "op12_warc",
+    """
+    with p as (select page_id, encode(coalesce(html, '')) as b, sha1(coalesce(html, '')) as h from pages),
+     d as (select *, list_aggregate(list_transform(range(32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + cast(
+           ((cast('0x' || substr(h || '0', cast(1 + 5 * i // 4 as bigint), 2) as int) // cast(pow(2, 3 - 5 * i % 4) as int)) % 32) as bigint), 1)),
+         'string_agg', '') as payload_digest from p),
+     r as (select *, row_number() over g as n, first(page_id) over g as response from d window g as (partition by b order by page_id nulls last))
+    select page_id, octet_length(b) as payload_bytes, payload_digest, case when n = 1 then 'response' else 'revisit' end as record_type,
+      case when n > 1 then response end as refers_to from r
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archived(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op13_periodic_runs")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = runs.with_planted_repetition(table(spark, sf_dir, "documents").select("doc_id", "text"))
