@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskflow.llm import decontamination, exact_dedup, html_text, jaccard, langid, line_dedup, packing, repair, runs, token_counts as counting, toxicity, warc
+from riskflow.llm import conversations, decontamination, exact_dedup, html_text, jaccard, langid, line_dedup, packing, repair, runs, token_counts as counting, toxicity, warc
 from riskflow.llm.tokens import VOCABULARY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,6 +141,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_report(table(spark, sf_dir, "documents"))
 
 
+@query("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_of_damaged(table(spark, sf_dir, "conversations"))
+
+
 @query(
     "op12_warc",
     """
