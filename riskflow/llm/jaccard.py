@@ -3,8 +3,8 @@
 Tiles. Sizes are cut into bands, and a pair belongs to the band of its smaller set. Sets of a band (and the slightly
 larger ones that may be partners) are cut by hash into so many segments that a pair as similar as asked for must agree
 in some segment that is not empty. A tile is one band, segment and segment content; only sets of a tile are compared.
-Comparison. Hashed bitmaps bound the overlap from above by bit counts; pairs that may still be similar enough are
-decided by intersecting the sorted arrays.
+Comparison. Hashed bitmaps bound the overlap from above by bit counts: pairs are joined with sizes and bitmaps first, and
+the sorted arrays are moved and intersected only for those that may still be similar enough.
 Classes. Equal sets are one node. In a first round each node is compared with the most central member of its tiles
 only, and links are contracted. Tiles whose members are one class by then are done. Of the others, small ones give
 their pairs between different classes. Members of large ones, which share a long passage, meet again in tiles of their
@@ -139,43 +139,71 @@ def _arrays(width: int):
                     flags = np.zeros(BITMAP_BITS, bool)
                     flags[(s & np.uint64(BITMAP_BITS - 1)).astype(np.int64)] = True
                     bits.append(np.packbits(flags).tobytes())
-                columns = [part.column("doc_id"), pa.array(bits, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "bits", "shingles"])
+                columns = [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(bits, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "bits", "shingles"])
 
     return arrays
 
 
+def _least_shared(n: np.ndarray | int, m: np.ndarray | int, percent: int) -> np.ndarray | int:
+    """The least intersection of sets of n and m elements with 100 * intersection >= percent * union."""
+    return -(-percent * (n + m) // (100 + percent))
+
+
+def _enough(x: bytes, y: bytes, percent: int) -> bool:
+    """Whether the sorted arrays share enough elements."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    both = np.sort(np.concatenate([a, b]))
+    return int((both[1:] == both[:-1]).sum()) >= _least_shared(len(a), len(b), percent)
+
+
+def _most_shared(n: np.ndarray | int, m: np.ndarray | int, x_bits: np.ndarray, y_bits: np.ndarray) -> np.ndarray:
+    """A bound of the intersection from above: each bit of one bitmap only stands for an element of one set only."""
+    only_x, only_y = (np.bitwise_count(a & ~b).sum(axis=-1, dtype=np.int64) for a, b in ((x_bits, y_bits), (y_bits, x_bits)))
+    return np.minimum(n - only_x, m - only_y)
+
+
 def similar(x: bytes, y: bytes, x_bits: np.ndarray, y_bits: np.ndarray, percent: int) -> bool:
     """Whether 100 * intersection >= percent * union: bit counts first, then the sorted arrays."""
     n, m = len(x) // 8, len(y) // 8
-    need = -(-percent * (n + m) // (100 + percent))  # the least intersection
-    most = min(n - int(np.bitwise_count(x_bits & ~y_bits).sum()), m - int(np.bitwise_count(y_bits & ~x_bits).sum()))
-    if most < need:
-        return False
-    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-    both = np.sort(np.concatenate([a, b]))
-    return int((both[1:] == both[:-1]).sum()) >= need
+    return bool(_most_shared(n, m, x_bits, y_bits) >= _least_shared(n, m, percent)) and _enough(x, y, percent)
+
+
+def _bounded(percent: int):
+    def bounded(batches: Batches) -> Batches:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("x_bits", "y_bits"))
+            n, m = (batch.column(c).to_numpy() for c in ("x_n", "y_n"))
+            possible = _most_shared(n, m, x, y) >= _least_shared(n, m, percent)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(possible)], names=["a", "b", "possible"])
+
+    return bounded
 
 
 def _verify(percent: int):
     def verify(batches: Batches) -> Batches:
         for batch in batches:
-            x, y, xb, yb = (batch.column(c) for c in ("x", "y", "x_bits", "y_bits"))
-            keep = [
-                similar(x[i].as_py(), y[i].as_py(), np.frombuffer(xb[i].as_py(), np.uint64), np.frombuffer(yb[i].as_py(), np.uint64), percent)
-                for i in range(batch.num_rows)
-            ]
+            x, y = batch.column("x"), batch.column("y")
+            keep = [_enough(x[i].as_py(), y[i].as_py(), percent) for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(keep, pa.bool_())], names=["a", "b", "linked"])
 
     return verify
 
 
+def _possible(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+    """The stored pairs (a, b) with `possible`: whether bit counts leave room for a link. No array is read."""
+    of = lambda node, side: arrays.select(F.col("node").alias(node), F.col("n").alias(f"{side}_n"), F.col("bits").alias(f"{side}_bits"))
+    rows = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x_n", "y_n", "x_bits", "y_bits")
+    return stored(map_batches(rows, _bounded(percent), "a long, b long, possible boolean"), "bounded")
+
+
 def _compared(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
     """The stored pairs (a, b) with the result of the comparison in `linked`."""
-    one = arrays.select(F.col("node").alias("a"), F.col("bits").alias("x_bits"), F.col("shingles").alias("x"))
-    two = arrays.select(F.col("node").alias("b"), F.col("bits").alias("y_bits"), F.col("shingles").alias("y"))
-    rows = pairs.join(one, "a").join(two, "b").select("a", "b", "x_bits", "y_bits", "x", "y")
-    return stored(map_batches(rows, _verify(percent), "a long, b long, linked boolean"), "compared")
+    bounded = _possible(pairs, arrays, percent)
+    one, two = (arrays.select(F.col("node").alias(node), F.col("shingles").alias(side)) for node, side in (("a", "x"), ("b", "y")))
+    rows = bounded.filter("possible").select("a", "b").join(one, "a").join(two, "b").select("a", "b", "x", "y")
+    decided = stored(map_batches(rows, _verify(percent), "a long, b long, linked boolean"), "compared")
+    return decided.unionByName(bounded.filter("not possible").select("a", "b", F.lit(False).alias("linked")))
 
 
 def _open_pairs(batches: Batches) -> Batches:
@@ -247,7 +275,7 @@ def near_duplicate_classes(
     shared_nodes = stored(members.select("node").distinct(), "shared-nodes")
     wanted = stored(filter_of(shared_nodes), "filter")
     texts = with_repeated(rows.filter("doc_id is not null"), "doc_id", wanted, "_wanted").filter("_wanted").select("doc_id", "_text")
-    made = map_batches(texts, _arrays(width), "node long, bits binary, shingles binary")
+    made = map_batches(texts, _arrays(width), "node long, n long, bits binary, shingles binary")
     arrays = stored(made.join(shared_nodes, "node", "left_semi"), "arrays")
 
     links, labels, compared, left = _with_centres(members, arrays, percent, None)

@@ -72,32 +72,6 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_repeated_chunks(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-@query(
-    "op4_repeated_passages",
-    """
-    with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from documents),
-     h as (select *, md5(line) as h from l),
-     r as (select *, md5(coalesce(lag(h) over (partition by doc_id order by i), '') || h) as r from h),
-     s as (select *, case when i = 1 or (lead(r) over d is not null and r < lag(r) over d and r <= lead(r) over d) then 1 else 0 end as s
-       from r window d as (partition by doc_id order by i)),
-     n as (select *, sum(s) over (partition by doc_id order by i) as nth from s),
-     p as (select doc_id, i, 2 as n, line || chr(10) || lead(line) over (partition by doc_id order by i) as t from l),
-     u as (select doc_id, min(i) as i, count(*) as n, string_agg(line, chr(10) order by i) as t from n group by doc_id, nth having count(*) > 2
-       union all select * from p where t is not null
-       union all select doc_id, i, 1, line from l where len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) >= 50),
-     e as (select *, row_number() over (partition by t order by doc_id, i) > 1 as again from u where regexp_matches(t, '[^ \t\r\n]')),
-     g as (select distinct doc_id, unnest(range(i, i + n)) as i from e where again),
-     k as (select l.*, g.i is not null as gone from l left join g using (doc_id, i)),
-     m as (select *, gone and not coalesce(lag(gone) over (partition by doc_id order by i), false) as begins from k)
-    select d.doc_id, count(i) as n_lines, count(*) filter (gone) as n_removed_lines, count(*) filter (begins) as n_removed_runs,
-      case when any_value(d.text) is not null then coalesce(string_agg(line, chr(10) order by i) filter (not gone), '') end as text
-    from documents d left join m using (doc_id) group by d.doc_id
-    """,
-)
-def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.without_repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
-
-
 @query("op5_toxicity")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")

@@ -218,3 +218,12 @@ def test_components_of_chains_and_stars(spark):
     links = list(zip(order, order[1:])) + [(5, i) for i in range(6, 60)] + [(70, 70), (2, 1), (1, 2)]
     got = {r["node"]: r["label"] for r in linked.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 1000 for i in range(1001, 1200)}, **{i: 5 for i in range(6, 60)}, 2: 1}
+
+
+def test_few_listed_pairs_read_arrays(spark, sf_dir, monkeypatch):
+    bounded, possible = [], jaccard._possible
+    monkeypatch.setattr(jaccard, "_possible", lambda *a: bounded.append(possible(*a)) or bounded[-1])
+    docs = exact_dedup.drop_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    assert jaccard.near_duplicate_classes(docs, width=5, percent=80).count() == docs.count()
+    listed = bounded[1]  # the first round compares with the centres of tiles
+    assert listed.filter("possible").count() < 0.05 * listed.count()
