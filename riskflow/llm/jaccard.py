@@ -24,7 +24,8 @@ from riskflow.llm.exact_dedup import filter_of, with_repeated
 BAND_RATIO = 1.5
 # Segments beyond the greatest number that can differ.
 SPARE_SEGMENTS = 4
-BITMAP_BITS = 2048
+# Bits of a set's bitmap: at least so many for each element, so that bit counts mean as much for large sets.
+BITS_PER_ELEMENT = 2
 # Members of a tile up to which its open pairs are listed; beyond, blocks of so many sets are compared.
 BLOCK = 32
 
@@ -136,8 +137,9 @@ def _arrays(width: int):
                 sets = _sets(part.column("_text"), width)
                 bits = []
                 for s in sets:
-                    flags = np.zeros(BITMAP_BITS, bool)
-                    flags[(s & np.uint64(BITMAP_BITS - 1)).astype(np.int64)] = True
+                    size = max(64, 1 << (BITS_PER_ELEMENT * len(s)).bit_length())
+                    flags = np.zeros(size, bool)
+                    flags[(s & np.uint64(size - 1)).astype(np.int64)] = True
                     bits.append(np.packbits(flags).tobytes())
                 columns = [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(bits, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "bits", "shingles"])
@@ -157,8 +159,18 @@ def _enough(x: bytes, y: bytes, percent: int) -> bool:
     return int((both[1:] == both[:-1]).sum()) >= _least_shared(len(a), len(b), percent)
 
 
+def _narrowed(bits: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (rows) in so many words: half by half, as an element's bit is its hash modulo the size."""
+    while bits.shape[-1] > words:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] | bits[..., half:]
+    return bits
+
+
 def _most_shared(n: np.ndarray | int, m: np.ndarray | int, x_bits: np.ndarray, y_bits: np.ndarray) -> np.ndarray:
     """A bound of the intersection from above: each bit of one bitmap only stands for an element of one set only."""
+    words = min(x_bits.shape[-1], y_bits.shape[-1])
+    x_bits, y_bits = _narrowed(x_bits, words), _narrowed(y_bits, words)
     only_x, only_y = (np.bitwise_count(a & ~b).sum(axis=-1, dtype=np.int64) for a, b in ((x_bits, y_bits), (y_bits, x_bits)))
     return np.minimum(n - only_x, m - only_y)
 
@@ -172,9 +184,14 @@ def similar(x: bytes, y: bytes, x_bits: np.ndarray, y_bits: np.ndarray, percent:
 def _bounded(percent: int):
     def bounded(batches: Batches) -> Batches:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("x_bits", "y_bits"))
             n, m = (batch.column(c).to_numpy() for c in ("x_n", "y_n"))
-            possible = _most_shared(n, m, x, y) >= _least_shared(n, m, percent)
+            x, y = batch.column("x_bits").to_pylist(), batch.column("y_bits").to_pylist()
+            widths = np.array([len(b) for b in x]) * (1 << 32) + np.array([len(b) for b in y])
+            possible = np.zeros(batch.num_rows, bool)
+            for width in np.unique(widths):  # bitmaps of equal sizes together
+                at = np.flatnonzero(widths == width)
+                xs, ys = (np.frombuffer(b"".join([side[i] for i in at.tolist()]), np.uint64).reshape(len(at), -1) for side in (x, y))
+                possible[at] = _most_shared(n[at], m[at], xs, ys) >= _least_shared(n[at], m[at], percent)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(possible)], names=["a", "b", "possible"])
 
     return bounded
