@@ -130,8 +130,8 @@ def _describe(width: int, percent: int):
     return describe
 
 
-def _arrays(width: int):
-    def arrays(batches: Batches) -> Batches:
+def _signatures(width: int):
+    def signatures(batches: Batches) -> Batches:
         for batch in batches:
             for part in text_slices(batch, "_text"):
                 sets = _sets(part.column("_text"), width)
@@ -141,12 +141,39 @@ def _arrays(width: int):
                     flags = np.zeros(size, bool)
                     flags[(s & np.uint64(size - 1)).astype(np.int64)] = True
                     bits.append(np.packbits(flags).tobytes())
-                columns = [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(bits, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "bits", "shingles"])
+                columns = [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(bits, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "bits"])
+
+    return signatures
+
+
+def _arrays(width: int):
+    def arrays(batches: Batches) -> Batches:
+        for batch in batches:
+            for part in text_slices(batch, "_text"):
+                sets = [s.tobytes() for s in _sets(part.column("_text"), width)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
     return arrays
 
 
+class _Sets:
+    """The sets of nodes: their sizes and bitmaps are stored, their arrays are made anew from texts where wanted."""
+
+    def __init__(self, rows: DataFrame, nodes: DataFrame, width: int, percent: int) -> None:
+        self.rows, self.width, self.percent = rows.filter("doc_id is not null"), width, percent
+        made = map_batches(self._texts(nodes), _signatures(width), "node long, n long, bits binary")
+        self.signatures = stored(made.join(nodes, "node", "left_semi"), "signatures")
+
+    def _texts(self, nodes: DataFrame) -> DataFrame:
+        wanted = stored(filter_of(nodes), "filter")
+        return with_repeated(self.rows, "doc_id", wanted, "_wanted").filter("_wanted").select("doc_id", "_text")
+
+    def arrays(self, nodes: DataFrame) -> DataFrame:
+        """(node, shingles) of stored `nodes`."""
+        return map_batches(self._texts(nodes), _arrays(self.width), "node long, shingles binary").join(nodes, "node", "left_semi")
+
+
 def _least_shared(n: np.ndarray | int, m: np.ndarray | int, percent: int) -> np.ndarray | int:
     """The least intersection of sets of n and m elements with 100 * intersection >= percent * union."""
     return -(-percent * (n + m) // (100 + percent))
@@ -207,19 +234,22 @@ def _verify(percent: int):
     return verify
 
 
-def _possible(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+def _possible(pairs: DataFrame, sets: _Sets) -> DataFrame:
     """The stored pairs (a, b) with `possible`: whether bit counts leave room for a link. No array is read."""
-    of = lambda node, side: arrays.select(F.col("node").alias(node), F.col("n").alias(f"{side}_n"), F.col("bits").alias(f"{side}_bits"))
+    of = lambda node, side: sets.signatures.select(F.col("node").alias(node), F.col("n").alias(f"{side}_n"), F.col("bits").alias(f"{side}_bits"))
     rows = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x_n", "y_n", "x_bits", "y_bits")
-    return stored(map_batches(rows, _bounded(percent), "a long, b long, possible boolean"), "bounded")
+    return stored(map_batches(rows, _bounded(sets.percent), "a long, b long, possible boolean"), "bounded")
 
 
-def _compared(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+def _compared(pairs: DataFrame, sets: _Sets) -> DataFrame:
     """The stored pairs (a, b) with the result of the comparison in `linked`."""
-    bounded = _possible(pairs, arrays, percent)
+    bounded = _possible(pairs, sets)
+    near = bounded.filter("possible").select("a", "b")
+    nodes = stored(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "compared-nodes")
+    arrays = stored(sets.arrays(nodes), "arrays")
     one, two = (arrays.select(F.col("node").alias(node), F.col("shingles").alias(side)) for node, side in (("a", "x"), ("b", "y")))
-    rows = bounded.filter("possible").select("a", "b").join(one, "a").join(two, "b").select("a", "b", "x", "y")
-    decided = stored(map_batches(rows, _verify(percent), "a long, b long, linked boolean"), "compared")
+    rows = near.join(one, "a").join(two, "b").select("a", "b", "x", "y")
+    decided = stored(map_batches(rows, _verify(sets.percent), "a long, b long, linked boolean"), "compared")
     return decided.unionByName(bounded.filter("not possible").select("a", "b", F.lit(False).alias("linked")))
 
 
@@ -277,34 +307,28 @@ def near_duplicate_classes(
     base = stored(
         map_batches(rows, _describe(width, percent), "doc_id long, n_shingles long, d1 long, d2 long, tiles array<long>"), "sets"
     )
-    nodes = stored(
-        base.filter("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.first("tiles").alias("tiles")),
-        "nodes",
-    )
-    entries = nodes.select("node", F.explode("tiles").alias("tile"))
+    kept = base.filter("n_shingles > 0 and doc_id is not null")
+    nodes = stored(kept.groupBy("d1", "d2").agg(F.min("doc_id").alias("node")), "nodes")
+    # Equal sets have equal tiles and one `set`; they are merged before anything is shuffled.
+    entries = kept.select("d1", "d2", F.explode("tiles").alias("tile")).withColumn("set", F.xxhash64("d1", "d2"))
     shared = stored(
-        entries.groupBy("tile").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).filter("_low < _high").select("tile"), "tiles"
+        entries.groupBy("tile").agg(F.min("set").alias("_low"), F.max("set").alias("_high")).filter("_low < _high").select("tile"), "tiles"
     )
     # Only entries of shared tiles go on; the filter lets few others into the shuffle.
-    maybe = with_repeated(entries, "tile", stored(filter_of(shared), "filter"), "_shared").filter("_shared").drop("_shared")
-    members = stored(maybe.join(shared, "tile"), "members")
-    # The arrays of these nodes only, made anew from their texts.
-    shared_nodes = stored(members.select("node").distinct(), "shared-nodes")
-    wanted = stored(filter_of(shared_nodes), "filter")
-    texts = with_repeated(rows.filter("doc_id is not null"), "doc_id", wanted, "_wanted").filter("_wanted").select("doc_id", "_text")
-    made = map_batches(texts, _arrays(width), "node long, n long, bits binary, shingles binary")
-    arrays = stored(made.join(shared_nodes, "node", "left_semi"), "arrays")
-
-    links, labels, compared, left = _with_centres(members, arrays, percent, None)
-    links = links.unionByName(_listed_links(left, arrays, compared, percent))
+    maybe = with_repeated(entries, "tile", stored(filter_of(shared), "filter"), "_shared").filter("_shared").select("tile", "d1", "d2").distinct()
+    members = stored(maybe.join(shared, "tile").join(nodes, ["d1", "d2"]).select("tile", "node"), "members")
+    sets = _Sets(rows, stored(members.select("node").distinct(), "shared-nodes"), width, percent)
+
+    links, labels, compared, left = _with_centres(members, sets, None)
+    links = links.unionByName(_listed_links(left, sets, compared))
     many = stored(left.filter(F.col("size") > BLOCK).select("node").distinct(), "many")
     if not many.isEmpty():
-        rare = stored(_rarest(arrays.join(many, "node", "left_semi"), percent), "rare")
-        links, labels, compared, left = _with_centres(rare, arrays, percent, links)
-        links = links.unionByName(_listed_links(left, arrays, compared, percent))
+        rare = stored(_rarest(sets.arrays(many), percent), "rare")
+        links, labels, compared, left = _with_centres(rare, sets, links)
+        links = links.unionByName(_listed_links(left, sets, compared))
         large = left.filter(F.col("size") > BLOCK)
         if not large.isEmpty():
-            links = links.unionByName(stored(_block_links(large, arrays, percent), "blocks"))
+            links = links.unionByName(stored(_block_links(large, sets), "blocks"))
     again = _ids_of_several_sets(base)
     links = links.unionByName(_links_of_ids(base, again, nodes))
     labels = stored(components(links), "labels")
@@ -335,7 +359,7 @@ def _links_of_ids(base: DataFrame, again: DataFrame, nodes: DataFrame) -> DataFr
     return of_id.join(least, "doc_id").select(F.col("node").alias("a"), "b").filter("a <> b")
 
 
-def _with_centres(members: DataFrame, arrays: DataFrame, percent: int, links: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def _with_centres(members: DataFrame, sets: _Sets, links: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """One round over tiles (tile, node): each node is compared with the most central member of its tiles.
 
     Gives all links so far, the labels of classes, the pairs compared, and the members (tile, node, label, size) of the
@@ -345,7 +369,7 @@ def _with_centres(members: DataFrame, arrays: DataFrame, percent: int, links: Da
     ranked = members.join(degree, "node").select("tile", "node", F.struct((-F.col("degree")).alias("d"), F.col("node").alias("n")).alias("rank"))
     centres = stored(ranked.groupBy("tile").agg(F.min("rank").alias("centre")), "centres")
     best = members.join(centres, "tile").groupBy("node").agg(F.min("centre").alias("centre"))
-    compared = _compared(best.select(F.col("node").alias("a"), F.col("centre.n").alias("b")).filter("a <> b"), arrays, percent)
+    compared = _compared(best.select(F.col("node").alias("a"), F.col("centre.n").alias("b")).filter("a <> b"), sets)
     found = compared.filter("linked").select("a", "b")
     links = found if links is None else links.unionByName(found)
     labels = stored(components(links), "labels")
@@ -355,12 +379,12 @@ def _with_centres(members: DataFrame, arrays: DataFrame, percent: int, links: Da
     return links, labels, compared, left
 
 
-def _listed_links(left: DataFrame, arrays: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
+def _listed_links(left: DataFrame, sets: _Sets, compared: DataFrame) -> DataFrame:
     """Links among the pairs of different classes in open tiles of at most BLOCK members; each pair is compared once."""
     small = left.filter(F.col("size") <= BLOCK).groupBy("tile").agg(F.collect_list(F.struct("node", "label")).alias("members"))
     listed = map_batches(small.select("members"), _open_pairs, "a long, b long").distinct()
     known = compared.filter("not linked").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    return _compared(listed.join(known, ["a", "b"], "left_anti"), arrays, percent).filter("linked").select("a", "b")
+    return _compared(listed.join(known, ["a", "b"], "left_anti"), sets).filter("linked").select("a", "b")
 
 
 def _exploded(batches: Batches) -> Batches:
@@ -389,7 +413,7 @@ def _rarest(arrays: DataFrame, percent: int) -> DataFrame:
     return rows.join(frequent, "node").withColumn("_rank", rank).filter(F.col("_rank") <= prefix).select("tile", "node")
 
 
-def _block_links(members: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+def _block_links(members: DataFrame, sets: _Sets) -> DataFrame:
     """Links between classes in large tiles. Only members outside the tile's largest class stand on the left of blocks."""
     sizes = members.groupBy("tile", "label").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("tile").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"))
@@ -400,9 +424,10 @@ def _block_links(members: DataFrame, arrays: DataFrame, percent: int) -> DataFra
     every = lambda n: F.sequence(F.lit(0), of(n) - 1)
     left = rows.filter("label <> top").select("tile", spread("minor", 1).alias("i"), F.explode(every("all")).alias("j"), F.lit(0).alias("side"), "node", "label")
     right = rows.select("tile", F.explode(every("minor")).alias("i"), spread("all", 2).alias("j"), F.lit(1).alias("side"), "node", "label")
-    blocks = left.unionByName(right).join(arrays, "node")
+    described = sets.arrays(stored(members.select("node").distinct(), "large")).join(sets.signatures.select("node", "bits"), "node")
+    blocks = left.unionByName(right).join(stored(described, "arrays"), "node")
     ship(members.sparkSession)
-    return blocks.groupBy("tile", "i", "j").applyInArrow(_block(percent), "a long, b long").distinct()
+    return blocks.groupBy("tile", "i", "j").applyInArrow(_block(sets.percent), "a long, b long").distinct()
 
 
 def keep_one_of_each_class(docs: DataFrame, width: int = 3, percent: int = 90, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
