@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Collection
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskflow import constants as C
 from riskflow.functions import columns as X
+from riskflow.sources.storage import stored
 
 
 def with_label_name(df: DataFrame, label_col: str = C.LABEL_COLUMN, name_col: str = "label") -> DataFrame:
@@ -81,10 +83,12 @@ def purchases_histogram(
         .groupBy("label", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # Reading n here keeps this the same aggregation as the one below, so that Spark runs it once.
-    seen = F.when(F.col("n") > 0, F.col("value"))
-    low = counts.agg(F.min(seen)).scalar()
-    high = counts.agg(F.max(seen)).scalar()
+    return _binned(stored(counts), bins)
+
+
+def _binned(counts: DataFrame, bins: int) -> DataFrame:
+    """Histogram of stored counts (label, value, n)."""
+    low, high = counts.agg(F.min("value")).scalar(), counts.agg(F.max("value")).scalar()
     width = (high - low) / F.lit(float(bins))
     number = F.when(width > 0, F.least(F.floor((F.col("value") - low) / width), F.lit(bins - 1))).otherwise(0)
     share = F.col("transactions") / F.sum("transactions").over(Window.partitionBy("label")) * 100
@@ -96,6 +100,69 @@ def purchases_histogram(
     )
 
 
+# What each summary row counts, by the columns it is grouped by.
+BY_CLASSES, BY_METHOD, BY_CLASS, BY_VALUE = "classes", "method", "class", "value"
+
+
+def dashboard_summary(df: DataFrame) -> DataFrame:
+    """Counts and sums from which all marts follow, by one aggregation over grouping sets and so one scan of `df`.
+
+    `df` has is_fraud, prediction, payment_method, purchases_count and the two coordinates. The result has a row for each
+    pair of actual and predicted class, each payment method, each class, and each class and number of purchases.
+    """
+    sets = {BY_CLASSES: ["is_fraud", "prediction"], BY_METHOD: ["payment_method"], BY_CLASS: ["is_fraud"], BY_VALUE: ["is_fraud", "purchases_count"]}
+    keys = ["is_fraud", "prediction", "payment_method", "purchases_count"]
+    rows = df.select(
+        F.col("is_fraud"), F.col("prediction").cast("double").alias("prediction"), "payment_method", F.col("purchases_count").cast("double").alias("purchases_count"),
+        F.col("is_fraud").alias("_class"), F.col("purchases_count").cast("double").alias("_purchases"),
+        F.col("shipment_location_lat").alias("_lat"), F.col("shipment_location_long").alias("_long"),
+    )
+    # The number of a set has a bit for each key that it leaves out.
+    numbers = {sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in columns): name for name, columns in sets.items()}
+    kind = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])[F.col("_set").cast("int")]
+    counted = rows.groupingSets([[F.col(c) for c in columns] for columns in sets.values()], *keys).agg(
+        F.grouping_id().alias("_set"),
+        F.count(F.lit(1)).alias("n"), F.count("_class").alias("labelled"), F.count_if(F.col("_class") == 1).alias("frauds"),
+        F.sum("_purchases").alias("purchases"), F.count("_purchases").alias("with_purchases"),
+        *[f(c).alias(f"{name}{c}") for c in ("_lat", "_long") for f, name in ((F.sum, "sum"), (F.count, "count"))],
+    )
+    return counted.withColumn("kind", kind).drop("_set")
+
+
+def dashboard_marts(df: DataFrame, bins: int = C.HISTOGRAM_BINS) -> DataFrame:
+    """All marts of the dashboard as one table: mart, label, item, n, value. `df` is scanned once.
+
+    confusion_matrix: actual and predicted class, rows. fraud_rate: payment method, rows with a class, percent of frauds.
+    average_purchases: class, rows, mean. histogram: class, bin, rows, percent of the class. map_center: coordinate, rows
+    of class 1, mean (0 without rows). Rows without a known class, method or value are left out where it is grouped by.
+    """
+    summary = stored(dashboard_summary(df))
+    of = lambda kind: summary.filter(F.col("kind") == kind)
+    label, none = X.label_name(F.col("is_fraud")), F.lit(None).cast("string")
+
+    def mart(rows: DataFrame, name: str, label: Column, item: Column, n: Column, value: Column) -> DataFrame:
+        return rows.select(F.lit(name).alias("mart"), label.alias("label"), item.alias("item"), n.cast("long").alias("n"), value.cast("double").alias("value"))
+
+    predicted = X.label_name(F.col("prediction"))
+    pairs = of(BY_CLASSES).filter(label.isNotNull() & predicted.isNotNull())
+    methods = of(BY_METHOD).filter("payment_method is not null")
+    values = of(BY_VALUE).filter(label.isNotNull() & F.col("purchases_count").isNotNull())
+    binned = _binned(values.select(label.alias("label"), F.col("purchases_count").alias("value"), "n"), bins)
+    frauds = of(BY_CLASS).filter("is_fraud = 1").agg(*[F.sum(c).alias(c) for c in ("n", "sum_lat", "count_lat", "sum_long", "count_long")])
+    centers = [
+        mart(frauds, "map_center", none, F.lit(item), F.coalesce("n", F.lit(0)), F.coalesce(F.try_divide(f"sum{c}", f"count{c}"), F.lit(0.0)))
+        for item, c in (("latitude", "_lat"), ("longitude", "_long"))
+    ]
+    tables = [
+        mart(pairs, "confusion_matrix", label, predicted, F.col("n"), F.lit(None)),
+        mart(methods, "fraud_rate", none, F.col("payment_method"), F.col("labelled"), F.try_divide("frauds", "labelled") * 100),
+        mart(of(BY_CLASS).filter("is_fraud is not null"), "average_purchases", label, none, F.col("n"), F.try_divide("purchases", "with_purchases")),
+        mart(binned, "histogram", F.col("label"), F.col("bin").cast("string"), F.col("transactions"), F.col("percent")),
+        *centers,
+    ]
+    return reduce(DataFrame.unionByName, tables)
+
+
 def map_points(df: DataFrame, classes: Collection[int] = (1, 0), label_col: str = C.LABEL_COLUMN) -> DataFrame:
     """Locations of the chosen classes with their colour; no class gives no rows."""
     return (

@@ -14,6 +14,10 @@ ROWS_PER_TASK = 1_000_000
 # Up to so many heavy keys are kept on the driver and broadcast; a longer list is a stored table and joined as one.
 LISTED_KEYS = 10_000
 MAX_PARTS = 100_000
+# Keys are counted in so many cells before any is counted alone. On large inputs a heavy key has at least this share of
+# all rows, 16 times what a cell holds on average.
+CELLS = 1 << 17
+SMALLEST_SHARE = 16 / CELLS
 COPIES_PER_CHUNK = 65_536
 
 
@@ -44,32 +48,44 @@ class EvenKeys(dict):
 
 
 def heavy_keys(df: DataFrame, *keys: str, rows_per_task: int | None = None) -> Heavy:
-    """Values of each key column with more than `rows_per_task` (ROWS_PER_TASK) rows, however many there are.
+    """Values of each key column with more rows than the limit, however many there are, and the parts to split each into.
 
-    One job over the key columns; counts are merged before they are shuffled. The result steers how joins are split,
-    not what they return.
+    A first job counts rows by a hash of the key into CELLS cells, merged before the shuffle, so that it moves no more
+    than CELLS numbers per task and column however many keys there are. No key has more rows than its cell: only the keys
+    of cells above the limit are counted one by one, by a second job that most inputs never need. The limit is
+    `rows_per_task`, or else ROWS_PER_TASK, and for large inputs the share SMALLEST_SHARE of all rows, so that on average
+    a cell stays far below it. The result steers how joins are split, not what they return.
     """
-    limit = rows_per_task or ROWS_PER_TASK
-    values = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.col(k).cast("string").alias("value")) for k in keys])).alias("k")
-    counted = df.select(values).groupBy("k.name", "k.value").count().filter(F.col("count") > limit)
-    parts = F.least(F.ceil(F.col("count") / limit), F.lit(MAX_PARTS)).cast("int").alias("_parts")
-    found = counted.select("name", "value", parts)
-    listed = found.take(LISTED_KEYS + 1)
-    if len(listed) > LISTED_KEYS:
-        found = stored(found)
-        nulls = {r["name"]: r["_parts"] for r in found.filter("value is null").collect()}  # one row per column at most
-        return {k: HeavyKeys(_typed(found.filter((F.col("name") == k) & F.col("value").isNotNull()), df, k), nulls.get(k, 1)) for k in keys}
-    out = {}
-    for k in keys:
-        rows = [(r["value"], r["_parts"]) for r in listed if r["name"] == k and r["value"] is not None]
-        table = df.sparkSession.createDataFrame(rows, "value string, _parts int") if rows else None
-        nulls = [r["_parts"] for r in listed if r["name"] == k and r["value"] is None]
-        out[k] = HeavyKeys(F.broadcast(_typed(table, df, k)) if rows else None, nulls[0] if nulls else 1)
+    columns = list(enumerate(keys))
+    cell = lambda i, k: F.when(F.col(k).isNull(), F.lit(CELLS)).otherwise(F.pmod(F.xxhash64(F.col(k).cast("string")), F.lit(CELLS))) + i * (CELLS + 1)
+    cells = [cell(i, k) for i, k in columns]
+    cells = df.select((F.explode(F.array(*cells)) if len(keys) > 1 else cells[0]).alias("cell")).groupBy("cell").count()
+    least = rows_per_task or ROWS_PER_TASK
+    # One row: the number of rows and the cells above the least limit, of which there are CELLS a column at most.
+    total, listed = cells.agg(
+        F.sum("count"), F.collect_list(F.when(F.col("count") > least, F.struct("cell", "count")))
+    ).first()
+    limit = rows_per_task or max(ROWS_PER_TASK, int((total or 0) / len(keys) * SMALLEST_SHARE))
+    full = {r["cell"]: r["count"] for r in listed if r["count"] > limit}
+    nulls = {k: min(-(-full.pop((i + 1) * CELLS + i, 0) // limit), MAX_PARTS) for i, k in columns}
+    out = {k: HeavyKeys(None, max(nulls[k], 1)) for k in keys}
+    for i, k in columns:
+        hot = [c - i * (CELLS + 1) for c in full if i * (CELLS + 1) <= c < (i + 1) * (CELLS + 1)]
+        if hot:
+            out[k] = HeavyKeys(_counted(df.select(k), k, hot, limit), out[k].nulls)
     return out
 
 
-def _typed(found: DataFrame, df: DataFrame, key: str) -> DataFrame:
-    return found.select(F.col("value").cast(df.schema[key].dataType).alias(key), "_parts")
+def _counted(rows: DataFrame, key: str, hot: list[int], limit: int) -> DataFrame | None:
+    """The keys in `hot` cells with more than `limit` rows, counted exactly, and their parts."""
+    cells = F.broadcast(rows.sparkSession.createDataFrame([(c,) for c in hot], "_cell long"))  # CELLS numbers at most
+    own = rows.filter(F.col(key).isNotNull()).withColumn("_cell", F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(CELLS)))
+    counted = own.join(cells, "_cell").groupBy(key).count().filter(F.col("count") > limit)
+    found = counted.select(key, F.least(F.ceil(F.col("count") / limit), F.lit(MAX_PARTS)).cast("int").alias("_parts"))
+    listed = found.take(LISTED_KEYS + 1)
+    if len(listed) > LISTED_KEYS:
+        return stored(found)
+    return F.broadcast(rows.sparkSession.createDataFrame(listed, found.schema)) if listed else None
 
 
 def _with_parts(df: DataFrame, key: str, heavy: HeavyKeys) -> DataFrame:

@@ -76,8 +76,7 @@ def one_profile_per_customer(customers: DataFrame, as_of: dt.date | None = None)
 
 def dedup_transactions(features: DataFrame) -> DataFrame:
     """One row per transaction id, the first in `transaction_order`."""
-    order = [*transaction_order(row_hash(features)), F.xxhash64(*sorted(features.columns))]
-    return first_per_key(features, "transaction_id", order)
+    return first_per_key(features, "transaction_id", transaction_order(F.xxhash64(*sorted(features.columns))))
 
 
 def enrich_feature_data(

@@ -63,8 +63,8 @@ def run_scoring(
     features = preprocess_data(spark, data_paths, schemas, **shared)
     write_parquet(score_transactions(features, model), output_path)
     scored = read_predictions(spark, output_path, view=None)
-    cells = stored(geo.place_cells(places), work_dir)
-    served = stored(marts.served_predictions(geo.add_city_features(scored, cells)), work_dir)
+    cells = geo.place_cells(places, work_dir=work_dir)
+    served = stored(marts.served_predictions(geo.add_city_features(scored, cells, work_dir=work_dir)), work_dir)
     if jdbc is not None:
         write_jdbc(served, **jdbc)
     return served

@@ -53,9 +53,23 @@ def test_ties_edges_and_equal_places(spark):
     check(spark, points, places)
 
 
-def test_cells_cut_to_the_last_level_stay_exact(spark):
-    rng = random.Random(3)
-    check(spark, uniform(rng, 300), named(uniform(rng, 30)), max_listed=1)
+def test_many_places_at_equal_distance_from_a_spot(spark):
+    ring = [(30.0 + 6 * i, 40.0 + 6 * j) for i, j in ((1, 8), (4, 7), (7, 4), (8, 1), (8, -1), (7, -4), (4, -7), (1, -8), (-1, 8), (-4, -7), (-8, 1))]
+    points = [(30.0, 40.0)] + [(30.0 + d * 10**-k, 40.0 - d * 10**-k / 3) for k in range(9) for d in (1, -1, 2)]
+    check(spark, points, named(ring))
+    with pytest.raises(ValueError):
+        geo.place_cells(spark.createDataFrame(named(ring), PLACES), 3)
+
+
+def test_dense_places(spark, monkeypatch):
+    rng = random.Random(8)
+    box = lambda n, lat, lon, wide: [(lat + rng.random() * wide, lon + rng.random() * wide) for _ in range(n)]
+    places = box(900, 50.0, 10.0, 3.0) + box(150, -33.0, 151.0, 0.08)  # the latter within 9 km
+    stages, stored = [], geo.stored
+    monkeypatch.setattr(geo, "stored", lambda df, *a: stages.append(stored(df, *a)) or stages[-1])
+    check(spark, box(300, 50.0, 10.0, 3.0) + box(100, -33.0, 151.0, 0.08) + uniform(rng, 200), named(places))
+    rows = [s.count() for s in stages if "action" in s.columns]
+    assert max(rows) < 50 * len(places)
 
 
 def test_lists_are_short(spark):

@@ -104,3 +104,36 @@ def test_label_names(spark):
 
 def test_rows_of_class(scored):
     assert marts.rows_of_class(scored, 1).count() == 2
+
+
+DASHBOARD = "is_fraud int, prediction double, payment_method string, purchases_count long, shipment_location_lat double, shipment_location_long double"
+
+
+def test_dashboard_marts_are_those_of_the_single_operators(spark):
+    rng = random.Random(9)
+    pick = lambda *v: rng.choice(v)
+    rows = [(pick(0, 0, 1, 2, None), pick(0.0, 1.0, None), pick("a", "b", None), pick(None, *range(90)), pick(None, 1.5, 2.5), pick(None, 8.0)) for _ in range(500)]
+    df = spark.createDataFrame(rows, DASHBOARD)
+    got = {}
+    for r in marts.dashboard_marts(df).collect():
+        got.setdefault(r["mart"], {})[r["label"], r["item"]] = (r["n"], None if r["value"] is None else round(r["value"], 9))
+    matrix = {(r["actual"], n): (r[n], None) for r in marts.confusion_matrix(df).collect() for n in ("Fraud", "Non-Fraud")}
+    assert got["confusion_matrix"] == matrix
+    rates = marts.payment_method_fraud_rate(df).collect()
+    assert got["fraud_rate"] == {(None, r["payment_method"]): (r["total_transactions"], round(r["fraud_rate"], 9)) for r in rates}
+    means = {r["is_fraud"]: round(r["purchases_count"], 9) for r in marts.average_purchases_by_label(df).collect()}
+    assert {k[0]: v[1] for k, v in got["average_purchases"].items()} == means
+    bins = {(r["label"], str(r["bin"])): (r["transactions"], round(r["percent"], 9)) for r in marts.purchases_histogram(df).collect()}
+    assert got["histogram"] == bins
+    center = marts.map_center(marts.rows_of_class(df, 1)).first()
+    assert [got["map_center"][None, i][1] for i in ("latitude", "longitude")] == [round(center["latitude"], 9), round(center["longitude"], 9)]
+    empty = marts.dashboard_marts(df.limit(0)).collect()
+    assert [tuple(r)[0] for r in empty] == ["map_center"] * 2 and all(r["value"] == 0 for r in empty)
+
+
+def test_dashboard_summary_scans_once(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        "1 as is_fraud", "1.0D as prediction", "o_orderpriority as payment_method", "o_custkey as purchases_count", "1.0D as shipment_location_lat", "1.0D as shipment_location_long"
+    )
+    plan = marts.dashboard_summary(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and plan.count("Exchange") == 1

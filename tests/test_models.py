@@ -1,14 +1,17 @@
 """Sampling, feature stages, training and evaluation."""
 
+import math
 import random
 
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskflow import constants as C
-from riskflow.operators import ml, sampling
+from riskflow.operators import ml, sampling, trees
 from riskflow.plans import training
 from riskflow.sources import storage
 
@@ -132,3 +135,48 @@ def test_a_cluster_without_a_shared_folder_raises(spark, monkeypatch):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         storage.work_dir(Cluster)
     assert storage.work_dir(Cluster, "/shared").startswith("/shared/")
+
+
+@pytest.mark.parametrize("kind", ["gbt", "rf"])
+def test_trees_as_nodes_score_like_the_model(spark, kind):
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+
+    rng = random.Random(4)
+    rows = [(rng.random(), rng.choice("abcd"), rng.randrange(50)) for _ in range(1500)]
+    df = spark.createDataFrame([(*r, int(r[0] > 0.6 or r[1] == "c" and r[2] > 20)) for r in rows], "x double, c string, k int, is_fraud int")
+    df = StringIndexer(inputCol="c", outputCol="ci").fit(df).transform(df)  # the trees split it by categories
+    df = VectorAssembler(inputCols=["x", "ci", "k"], outputCol="features").transform(df)
+    model = (GBTClassifier(labelCol="is_fraud", maxIter=5, seed=1) if kind == "gbt" else RandomForestClassifier(labelCol="is_fraud", numTrees=5, seed=1)).fit(df)
+    nodes = trees.tree_nodes(model)
+    assert any(n.categories for n in nodes)
+    x = vector_to_array("features")
+    probability = trees.boosted_probability if kind == "gbt" else trees.forest_probability
+    scored = model.transform(df).select("x", "ci", "k", vector_to_array("probability")[1].alias("theirs"), probability(nodes, lambda i: x[i]).alias("ours"))
+    assert scored.filter("abs(theirs - ours) > 1e-12").isEmpty()
+    # The same as SQL text, run by Spark.
+    sql = trees.margin_sql(nodes, lambda i: f"cast({['x', 'ci', 'k'][i]} as double)")
+    margin = trees.margin(nodes, lambda i: x[i])
+    assert model.transform(df).filter(F.abs(margin - F.expr(sql)) > 1e-12).isEmpty()
+
+
+def brute_area(rows):
+    p, n = [s for s, y in rows if y == 1], [s for s, y in rows if y == 0]
+    return sum((a > b) + (a == b) / 2 for a in p for b in n) / (len(p) * len(n))
+
+
+@pytest.mark.parametrize("distinct", [1, 3, 400])
+def test_area_under_roc_is_exact(spark, distinct):
+    rng = random.Random(distinct)
+    rows = [(rng.randrange(distinct) / distinct, int(rng.random() < 0.3)) for _ in range(600)]
+    df = spark.createDataFrame([*rows, (None, 1), (0.5, None)], "score double, is_fraud int")
+    found = ml.area_under_roc(df, "score", ranges=7).first()
+    assert math.isclose(found["area"], brute_area(rows), rel_tol=1e-12)
+    assert (found["positives"], found["negatives"]) == (sum(y for _, y in rows), sum(1 - y for _, y in rows))
+    evaluator = BinaryClassificationEvaluator(labelCol="is_fraud", rawPredictionCol="score", numBins=0)
+    assert math.isclose(found["area"], evaluator.evaluate(df.na.drop()), rel_tol=1e-9)
+
+
+def test_area_under_roc_of_one_class_or_no_rows(spark):
+    df = spark.createDataFrame([(0.5, 1), (0.6, 1)], "score double, is_fraud int")
+    assert tuple(ml.area_under_roc(df, "score").first()) == (None, 2, 0)
+    assert tuple(ml.area_under_roc(df.limit(0), "score").first()) == (None, 0, 0)

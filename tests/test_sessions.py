@@ -252,3 +252,17 @@ def test_even_keys_are_not_measured(spark):
     assert rows(S.session_rollup(events, heavy=skew.EvenKeys()), "session_id", "total_browsing_time") == rows(
         S.session_rollup(events), "session_id", "total_browsing_time"
     )
+
+
+def test_measuring_keys_moves_no_more_than_the_cells(spark, monkeypatch):
+    monkeypatch.setattr(skew, "CELLS", 64)
+    monkeypatch.setattr(skew, "SMALLEST_SHARE", 1 / 4)
+    rows = spark.range(40_000).selectExpr("cast(if(id % 2 = 0, 7, id) as string) as session_id", "cast(null as int) as customer_id")
+    # Half of the rows and one more have one id, the others one each; all customers are unknown.
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 100)
+    heavy = skew.heavy_keys(rows, "session_id", "customer_id")
+    assert heavy["session_id"].parts() == {"7": 3} and heavy["customer_id"].parts() == {None: 4}
+    # A limit that is asked for holds, also where cells hold more than it.
+    assert skew.heavy_keys(rows, "session_id", rows_per_task=5_000)["session_id"].parts() == {"7": 5}
+    assert skew.heavy_keys(rows, "session_id", rows_per_task=50_000)["session_id"].parts() == {}
+    assert not any(skew.heavy_keys(rows.limit(0), "session_id", "customer_id").values())
