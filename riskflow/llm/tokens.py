@@ -168,6 +168,11 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def vocabulary_size(path: str) -> int:
+    """One more than the greatest id."""
+    return max(Tokenizer.from_file(path).get_vocab().values()) + 1
+
+
 def check_byte_level(path: str) -> None:
     """Raise unless the file is a byte-level BPE vocabulary with the usual pattern, which the cuts rely on."""
     library = Tokenizer.from_file(path)

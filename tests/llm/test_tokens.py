@@ -99,17 +99,17 @@ def test_grammar_round_trip_and_random_access():
 
 
 def check_pieces(rows, docs, window):
-    left = [(d, ids_of(t) + [1]) for d, t in docs]
-    pieces = {}
+    """Each id of each document is in exactly one piece, and the pieces hold the ids they say."""
+    of = {}
+    for d, t in docs:
+        of.setdefault((d, len(ids_of(t)) + 1), []).append(ids_of(t) + [1])
+    covered = {key: np.zeros(key[1], int) for key in of}
     for r in rows:
-        pieces.setdefault((r["doc_id"], r["doc_tokens"]), []).append(r)
-    for d, ids in left:
-        for start in range(0, len(ids), window):
-            part = ids[start : start + window]
-            crc = zlib.crc32(np.array(part, "<u4").tobytes())
-            group = pieces[d, len(ids)]
-            group.remove(next(p for p in group if (p["start"], p["length"], p["ids_crc32"]) == (start, len(part), crc)))
-    assert not any(pieces.values())
+        key, low, high = (r["doc_id"], r["doc_tokens"]), r["start"], r["start"] + r["length"]
+        assert 0 <= low < high <= key[1] and r["length"] <= window
+        assert r["ids_crc32"] == zlib.crc32(np.array(of[key][0][low:high], "<u4").tobytes())
+        covered[key][low:high] += 1
+    assert all((n == len(of[key])).all() for key, n in covered.items())
     sequences = {}
     for r in rows:
         sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
@@ -139,3 +139,32 @@ def test_plan_fills_windows():
         assert (slots[:, 1] == np.cumsum(slots[:, 2]) - slots[:, 2]).all()
     tokens = int((histogram * np.arange(256)).sum())
     assert sequences * 256 < 1.01 * tokens + 256
+
+
+@pytest.mark.parametrize("length", [700, 1100, 1300, 1400, 2047])
+@pytest.mark.parametrize("share", [1 / 3, 1])
+def test_hot_lengths_leave_little_padding(length, share):
+    rng = np.random.default_rng(5)
+    histogram = np.zeros(2048, np.int64)
+    histogram[length] = 30_000
+    if share < 1:
+        np.add.at(histogram, rng.integers(1, 2048, 60_000), 1)
+    table, sequences = packing.plan(histogram, 2048)
+    for n in np.flatnonzero(histogram):  # each piece has its slot, without gaps
+        slots = table[table[:, 0] == n]
+        assert (slots[:, 1] == np.cumsum(slots[:, 2]) - slots[:, 2]).all() and slots[:, 2].sum() == histogram[n]
+    laid = table[table[:, 3] == packing.LINE]
+    laid = laid[np.argsort(laid[:, 4])]
+    ends = laid[:, 4] + laid[:, 0] * laid[:, 2]
+    assert (laid[:, 4] == np.concatenate([[0], ends[:-1]])).all()
+    sequences += -(-int(ends[-1] if len(ends) else 0) // 2048)
+    assert sequences * 2048 < 1.005 * int((histogram * np.arange(2048)).sum()) + 2048
+
+
+def test_packing_cuts_a_hot_length(spark):
+    rows = [(i, "a b c d e f g h i j k l m n o p q r s t u v w x y z a b c d e f g h i j") for i in range(300)] + [(1000 + i, "a " * i) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = packing.pack(docs, PATH, end_id=1, window=64).collect()
+    check_pieces(got, rows, 64)
+    tokens = sum(r["length"] for r in got)
+    assert len({r["sequence_id"] for r in got}) * 64 <= 1.005 * tokens + 64
