@@ -31,7 +31,7 @@ class TestSuffixes:
     """All suffixes of some items that hold a window. codes: a row each, to the depth of the longest window."""
 
     vocabulary: np.ndarray  # sorted hashes; a word's code is its place in it plus 1
-    items: list[str]
+    items: list[list[str]]  # the ids of all items with the same words
     item: np.ndarray
     word: np.ndarray
     window: np.ndarray
@@ -42,19 +42,34 @@ def test_suffixes(items: list[tuple[str, str]], window: int) -> TestSuffixes | N
     data, ends = text_bytes(pa.array([text for _, text in items], pa.string()))
     starts, stops, first = word_spans(data, ends, ALPHANUMERIC)
     hashes = word_hashes(data, starts, stops, ALPHANUMERIC)
+    # Items with the same words are searched once.
+    same: dict[bytes, int] = {}
+    ids: list[list[str]] = []
+    kept = []
+    for k, (name, _) in enumerate(items):
+        words = hashes[first[k] : first[k + 1]].tobytes()
+        if words and words not in same:
+            same[words] = len(ids)
+            ids.append([])
+            kept.append(k)
+        if words:
+            ids[same[words]].append(name)
+    hashes = np.concatenate([hashes[:0], *(hashes[first[k] : first[k + 1]] for k in kept)])
+    first = np.concatenate([[0], np.cumsum([first[k + 1] - first[k] for k in kept], dtype=np.int64)]).astype(np.int64)
+    ids = [sorted(set(names)) for names in ids]
     if not len(hashes):
         return None
     vocabulary = np.array(sorted(set(hashes.tolist())), np.uint64)
     codes = np.searchsorted(vocabulary, hashes) + 1
     sizes = np.diff(first)
     windows = np.minimum(sizes, window)
-    item = np.repeat(np.arange(len(items)), np.maximum(sizes - windows + 1, 0) * (sizes > 0))
-    count = np.bincount(item, minlength=len(items))
+    item = np.repeat(np.arange(len(ids)), np.maximum(sizes - windows + 1, 0) * (sizes > 0))
+    count = np.bincount(item, minlength=len(ids))
     word = np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
     depth = np.arange(int(windows.max()))
     at = (first[item] + word)[:, None] + depth
     rows = np.where(depth < windows[item][:, None], codes[np.minimum(at, len(codes) - 1)], 0)
-    return TestSuffixes(vocabulary, [i for i, _ in items], item, word, windows[item], rows)
+    return TestSuffixes(vocabulary, ids, item, word, windows[item], rows.astype(np.int32))
 
 
 def _keys(codes: np.ndarray, wide: bool) -> np.ndarray:
@@ -143,29 +158,48 @@ def with_matches(
     item_text_column: str = "text",
     part_words: int = PART_WORDS,
 ) -> DataFrame:
-    """`docs` with the columns n_words and matches (item_id, item_word, doc_word, n_words of each verbatim match).
+    """`docs` with the columns n_words, matches (item_id, item_word, doc_word, n_words of each verbatim match) and item_ids.
+
+    A match names the least id of the items with the same words; the column item_ids lists the ids of all items found.
 
     Words are runs of letters and digits after lower-casing A-Z, where every character beyond ASCII counts as a letter. A window is
     `window` words of an item, or all words of a shorter one. Null and empty texts, of either side, have no words. Items
-    that repeat an id count as one; a null id counts as empty. Columns named n_words or matches are replaced.
+    that repeat an id count as one; a null id counts as empty. Columns named n_words, matches or item_ids are replaced.
     """
     spark = docs.sparkSession
-    base = docs.drop("n_words", "matches")
-    current = base.withColumn("n_words", F.lit(None).cast("long")).withColumn("matches", F.array().cast(MATCHES))
+    base = docs.drop("n_words", "matches", "item_ids")
+    none = {"matches": F.array().cast(MATCHES), "item_ids": F.array().cast("array<string>")}
+    current = base.withColumns(none)
     parts = 0
     for items in _parts(benchmark, item_column, item_text_column, part_words):
         tests = test_suffixes(items, window)
         if tests is None:
             continue
         if parts:  # a large benchmark: one stored step for each part
-            current = stored(current, "matches")
+            current = stored(current.drop("n_words"), "matches")
         shared = spark.sparkContext.broadcast(tests)  # PART_WORDS bounds it
-        current = map_batches(current, _search(shared, text_column), current.schema)
+        more = {"n_words": F.lit(0).cast("long"), "_matches": none["matches"], "_item_ids": none["item_ids"]}
+        found = map_batches(current, _search(shared, text_column), current.withColumns(more).schema)
+        merged = {"matches": F.concat("matches", "_matches"), "item_ids": F.array_distinct(F.concat("item_ids", "_item_ids"))}
+        current = found.withColumns(merged).drop("_matches", "_item_ids")
         parts += 1
     if parts == 0:
-        n = map_batches(base, _count(text_column), base.withColumn("n_words", F.lit(0).cast("long")).schema)
-        current = n.withColumn("matches", F.array().cast(MATCHES))
-    return current
+        current = map_batches(base, _count(text_column), base.withColumn("n_words", F.lit(0).cast("long")).schema).withColumns(none)
+    return current.select(*base.columns, "n_words", "matches", "item_ids")
+
+
+def _lists(found: np.ndarray, rows: int, items: list[list[str]]) -> tuple[pa.Array, pa.Array]:
+    """For each text its matches, and the ids of the items they are of. `found` is ordered by text."""
+    edges = np.searchsorted(found[:, 0], np.arange(rows + 1)).astype(np.int32)
+    first = pa.array([ids[0] for ids in items], pa.string())
+    fields = [first.take(pa.array(found[:, 1])), *(pa.array(found[:, k].astype(np.int32)) for k in (2, 3, 4))]
+    matches = pa.ListArray.from_arrays(pa.array(edges), pa.StructArray.from_arrays(fields, fields=list(_MATCH)))
+    pairs = found[:, :2]
+    pairs = pairs[np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(axis=1)])] if len(pairs) else pairs
+    ids: list[list[str]] = [[] for _ in range(rows)]
+    for text, item in pairs.tolist():
+        ids[text] += items[item]
+    return matches, pa.array(ids, pa.list_(pa.string()))
 
 
 def _search(shared, text_column: str):
@@ -174,13 +208,9 @@ def _search(shared, text_column: str):
         for batch in batches:
             for part in text_slices(batch, text_column):
                 n_words, found = finder.find(part.column(text_column))
-                lists = part.column("matches").to_pylist() if part.num_rows else []
-                for doc, item, word, doc_word, n in found.tolist():
-                    match = {"item_id": finder.tests.items[item], "item_word": word, "doc_word": doc_word, "n_words": n}
-                    lists[doc] = [*(lists[doc] or []), match]
-                columns = dict(zip(part.schema.names, part.columns, strict=True))
-                columns |= {"n_words": pa.array(n_words, pa.int64()), "matches": pa.array(lists, pa.list_(_MATCH))}
-                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+                matches, item_ids = _lists(found, part.num_rows, finder.tests.items)
+                columns = [*part.columns, pa.array(n_words, pa.int64()), matches, item_ids]
+                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "n_words", "_matches", "_item_ids"])
 
     return search
 
@@ -198,7 +228,7 @@ def _count(text_column: str):
 
 def hit_words(matches: Column) -> Column:
     """Words inside any match: the size of the union of its spans."""
-    spans = F.array_sort(F.transform(matches, lambda m: F.struct(m["doc_word"].alias("a"), (m["doc_word"] + m["n_words"]).alias("b"))))
+    spans = F.sort_array(F.transform(matches, lambda m: F.struct(m["doc_word"].alias("a"), (m["doc_word"] + m["n_words"]).alias("b"))))
     start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
     total = F.aggregate(
         spans,
@@ -212,10 +242,10 @@ def hit_words(matches: Column) -> Column:
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per row of `docs`: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, matches."""
+    """One row per row of `docs`: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, matches, item_ids."""
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     found = with_matches(rows, benchmark, window)
-    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"])))
+    items = F.sort_array(F.array_distinct("item_ids"))
     return found.select(
         "doc_id",
         "n_words",
@@ -224,6 +254,7 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = WI
         F.sha2(F.concat_ws(",", items).cast("binary"), 256).alias("items_sha256"),
         (F.size("matches") > 0).alias("contaminated"),
         "matches",
+        "item_ids",
     )
 
 

@@ -84,7 +84,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_decontamination")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = decontamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return report.drop("matches")
+    return report.drop("matches", "item_ids")
 
 
 @query("op7_html_text")
