@@ -36,9 +36,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "button": {"button"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}, "button": BLOCKS | {"select"}}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_OPENING = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+_IN_TAG = re.compile(r"[^>=]*+(?:(>)|=\s*+([\"']?))")
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|data-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_TEMPLATE = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|iframe)\b.*?(?:</\1\b[^>]*>|\Z)|<(/?)template(?:[\s/][^>]*)?>", re.S | re.I)
+_TEMPLATE = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|iframe)\b.*?(?:</\1\b[^>]*(?:>|\Z)|\Z)|<(/?)template(?:[\s/][^>]*)?(?:>|\Z)", re.S | re.I)
+_LEADING_ZEROS, _BEYOND_UNICODE = re.compile(r"&#0+(?=[0-9])"), re.compile(r"&#[0-9]{8,};?")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -66,6 +68,62 @@ def _length(words: int) -> str:
     return f"words={min(words.bit_length(), 6)}"
 
 
+def _text(raw: str) -> str:
+    """Character references decoded; a number beyond Unicode, however long, is the replacement character."""
+    if "&#" in raw:
+        raw = _BEYOND_UNICODE.sub("\ufffd", _LEADING_ZEROS.sub("&#", raw))
+    return _SPACE.sub(" ", html.unescape(raw)).strip()
+
+
+class Tags:
+    """The tags of a page, read once and forward.
+
+    A quote opens a value after `=` only. One that never closes is a character like others; so is a `<` whose tag does not
+    end. Once a tag ran to the end of the page because each `>` was in a quoted value, quotes count no more.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.last = {c: page.rfind(c) for c in ">\"'"}
+        self.quotes = True
+
+    def _end(self, at: int) -> int:
+        """Where the `>` of a tag is, read from `at`; -1 without one."""
+        if at > self.last[">"]:
+            return -1
+        if not self.quotes:
+            return self.page.find(">", at)
+        begin = at
+        while token := _IN_TAG.match(self.page, at):
+            at = token.end()
+            if token.group(1):
+                return at - 1
+            quote = token.group(2)
+            if quote and at <= self.last[quote]:
+                at = self.page.find(quote, at) + 1
+        self.quotes = False
+        return self.page.find(">", begin)
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """The next tag or comment: where it begins and ends, whether it is an end tag, its name ("" for others), attributes."""
+        while opening := _OPENING.search(self.page, at):
+            comment, other, closing, name = opening.groups()
+            if comment:
+                end = self.page.find("-->", opening.end())
+                return opening.start(), len(self.page) if end < 0 else end + 3, False, "", ""
+            end = self.page.find(">", opening.end()) if other else self._end(opening.end())
+            if end >= 0:
+                return opening.start(), end + 1, bool(closing), "" if other else name.lower(), self.page[opening.end() : end]
+            if other or opening.end() > self.last[">"]:
+                # No tag ends any more: only a comment can follow.
+                at = self.page.find("<!--", opening.end())
+                if at < 0:
+                    return None
+            else:
+                at = opening.end()
+        return None
+
+
 def _template_ends(page: str) -> dict[int, int]:
     """Where the content of each template begins, and where its end tag ends. One without an end tag is not among them."""
     ends, begun = {}, []
@@ -83,16 +141,19 @@ def parse(page: str) -> list[Node]:
     nodes = [Node(-1, ["tag=#root"])]
     # Open elements: name, node, and for a control the text before it that goes on after it.
     stack: list[tuple[str, int, tuple[list[str], int] | None]] = [("#root", 0, None)]
+    places: dict[str, list[int]] = defaultdict(list)  # where in the stack the elements of a name are
+    waiting: list[int] = []  # where in it the controls are whose text before has not become a block
     pieces: list[str] = []
     linked = in_link = 0
     at, end = 0, len(page)
 
     templates = _template_ends(page)
+    tags = Tags(page)
 
     def flush(top: int = -1) -> None:
         nonlocal linked
         if pieces:
-            text = _SPACE.sub(" ", html.unescape("".join(pieces))).strip()
+            text = _text("".join(pieces))
             pieces.clear()
             if text:
                 share = linked / max(len(text), 1)
@@ -107,42 +168,56 @@ def parse(page: str) -> list[Node]:
                 nodes.append(Node(stack[top][1], features, text=text, linked=linked))
         linked = 0
 
+    def begin(name: str, before: tuple[list[str], int] | None = None) -> None:
+        places[name].append(len(stack))
+        if before:
+            waiting.append(len(stack))
+        stack.append((name, len(nodes) - 1, before))
+
+    def finish() -> tuple[list[str], int] | None:
+        name, _, before = stack.pop()
+        places[name].pop()
+        if waiting and waiting[-1] == len(stack):
+            waiting.pop()
+        return before
+
     def close(index: int) -> None:
-        nonlocal linked
+        nonlocal pieces, linked
         while len(stack) > index:
             flush()
-            before = stack.pop()[2]
-            if before:
-                pieces[:], linked = before
+            if before := finish():
+                pieces, linked = before
+
+    def highest(names: frozenset[str] | set[str]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
 
     def flush_before() -> None:
         """The text before open controls comes before that of blocks in them."""
-        nonlocal linked
-        inner = pieces[:], linked
-        for i, (_, _, before) in enumerate(stack):
-            if before and before[0]:
-                pieces[:], linked = before
-                stack[i] = stack[i][0], stack[i][1], ([], 0)
-                flush(i - 1)
-        pieces[:], linked = inner
+        nonlocal pieces, linked
+        inner = pieces, linked
+        for i in waiting:
+            name, node, before = stack[i]
+            pieces, linked = before
+            stack[i] = name, node, ([], 0)
+            flush(i - 1)
+        waiting.clear()
+        pieces, linked = inner
 
     while at < end:
-        token = _TOKEN.search(page, at)
-        piece = page[at : token.start()] if token else page[at:]
+        tag = tags.next(at)
+        piece = page[at : tag[0]] if tag else page[at:]
         if piece:
             pieces.append(piece)
             if in_link:
                 linked += len(piece)
-        if token is None:
+        if tag is None:
             break
-        at = token.end()
-        closing, name, rest = token.group(1), token.group(2), token.group(3)
+        _, at, closing, name, rest = tag
         if not name:
             continue
-        name = name.lower()
         if name in SKIPPED:
             if not closing and not rest.endswith("/"):
-                stop = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
+                stop = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
                 at = stop.end() if stop else end
                 pieces.append(" ")
         elif name == "a":
@@ -154,25 +229,21 @@ def parse(page: str) -> list[Node]:
             pieces.append(" ")
         elif name in BLOCKS or name in CONTROLS:
             if closing:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == name:
-                        close(i)
-                        break
-                else:
-                    if name in BLOCKS:
-                        flush()
+                if places[name]:
+                    close(places[name][-1])
+                elif name in BLOCKS:
+                    flush()
                 continue
             if name in BLOCKS:
                 if name != "option":
                     flush_before()
                 flush()
-            for i in range(len(stack) - 1, 0, -1):
-                if name in CLOSES and stack[i][0] in CLOSES[name]:
-                    close(i)
-                elif name in CLOSES and stack[i][0] in SCOPES[name]:
-                    break
+            if name in CLOSES:
+                scope = highest(SCOPES[name])
+                while (index := highest(CLOSES[name])) > scope:
+                    close(index)
             if stack[-1][0] == "p" and name in BLOCKS:
-                stack.pop()
+                finish()
             words, label = [], ""
             if rest:
                 for key, *values in _NAMED.findall(rest):
@@ -184,11 +255,11 @@ def parse(page: str) -> list[Node]:
             nodes.append(Node(stack[-1][1], [f"tag={KIND.get(name, name)}", *(f"name={w}" for w in sorted(set(words)))], label))
             if name in CONTROLS:
                 if not rest.endswith("/"):
-                    stack.append((name, len(nodes) - 1, ([*pieces, " "], linked)))
-                    pieces.clear()
-                    linked = 0
+                    pieces.append(" ")
+                    begin(name, (pieces, linked))
+                    pieces, linked = [], 0
             elif name not in VOID:
-                stack.append((name, len(nodes) - 1, None))
+                begin(name)
     flush_before()
     close(1)
     flush()

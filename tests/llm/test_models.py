@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -208,7 +209,7 @@ def test_contamination(spark, part_words, monkeypatch):
     docs += [(100, None), (101, ""), (102, "ZZ-yy/xx ... solo"), (None, items[1][1]), (103, items[2][1]), (103, items[2][1]), (104, text(50_000))]
     frame = spark.createDataFrame([(d, t, 1, 2, "x") for d, t in docs], "doc_id long, text string, matches int, n_words int, _text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = decontamination.contamination_report(frame, bench).drop("matches").collect()
+    got = decontamination.contamination_report(frame, bench).drop("matches", "item_ids").collect()
     expected = brute_contamination(docs, items, 10)
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected))
     clean = decontamination.decontaminate(frame, bench)
@@ -225,3 +226,38 @@ def test_matches_are_maximal_and_located():
     n_words, found = decontamination.ShardSearch(tests).find(pa.array(texts))
     assert n_words.tolist() == [20, 9, 40]
     assert sorted(map(tuple, found.tolist())) == [(0, 0, 4, 2, 17), (2, 0, 0, 0, 30), (2, 0, 20, 30, 10)]
+
+
+def test_many_matches_of_equal_items():
+    tests = decontamination.test_suffixes([(str(i), "Word") for i in range(100)], 10)
+    begun = time.time()
+    n_words, found = decontamination.ShardSearch(tests).find(pa.array(["x", "word " * 100_000, None]))
+    matches, ids = decontamination._lists(found, 3, tests.items)
+    assert time.time() - begun < 2
+    assert n_words.tolist() == [1, 100_000, 0] and len(found) == 100_000
+    assert [len(m) for m in matches.to_pylist()] == [0, 100_000, 0]
+    assert ids.to_pylist() == [[], sorted(map(str, range(100))), []]
+
+
+@pytest.mark.parametrize("unit", ["<a", "<a x", "<a title='", "<a t='>'", "<div>", "<!", "</script", "<script>", "<button>a<p>", "<template ", "<div><li>", "<td>"])
+@pytest.mark.parametrize("end", ["", ">", "'>"])
+def test_broken_markup_is_read_in_linear_time(unit, end):
+    model = html_text.train(labelled_pages.labelled_pages(20))
+    begun = time.time()
+    html_text.main_text(unit * (400_000 // len(unit)) + end, model)
+    assert time.time() - begun < 8
+
+
+def test_unclosed_elements_and_end_tags():
+    for opened, again in [("<div>", "</p>"), ("<div>", "<li>"), ("<div>", "<button>")]:
+        begun = time.time()
+        html_text.parse(opened * 40_000 + again * 40_000)
+        assert time.time() - begun < 8
+
+
+def test_tags_are_read_forward():
+    texts = lambda page: [n.text for n in html_text.parse(page) if n.text]
+    assert texts("<p title=it's>don't <b class='>'>stop</b>") == ["don't stop"]
+    assert texts('<p title="a > b">in</p> 1 < 2 <a href="x') == ["in", '1 < 2 <a href="x']
+    assert texts("<p a='x>y</p>z") == ["y", "z"]
+    assert texts("<p>x &#" + "0" * 5000 + "65; &#" + "1" * 6000 + "; y") == ["x A \ufffd y"]
