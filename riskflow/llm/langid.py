@@ -26,6 +26,10 @@ LONGEST_WORD = 30
 SMOOTHING = 0.1
 UNKNOWN = 1e-8
 MAX_CACHED = 400_000
+# Bytes of text that a task scores at once.
+SLICE = 1_000_000
+# Ids are counted by no more than this many leading bits of their hashes.
+MOST_BITS = 16
 UNDETERMINED = "und"
 
 WORD_START = "▁"
@@ -154,7 +158,7 @@ def _parts(word: str) -> list[str]:
 
 def _sample_words(batches: Batches) -> Batches:
     for batch in batches:
-        for part in text_slices(batch, "_text"):
+        for part in text_slices(batch, "_text", SLICE):
             languages, words = [], []
             data, ends = text_bytes(part.column("_text"))
             starts, stops, first = word_spans(data, ends, LETTERS)
@@ -183,6 +187,24 @@ def _expectation(model: Model):
     return expect
 
 
+def smallest_hashes(ids: DataFrame, most: int) -> DataFrame:
+    """Of the rows (_id, lang) the `most` of each language with the smallest hashes of _id.
+
+    Rows are counted by language and leading bits of the hash, merged before the shuffle; only rows up to the bits at which
+    a language has enough are ranked, so that no task gets all rows of a language.
+    """
+    ranges = max(1, 4 * ids.count() // max(most, 1))
+    shift = 64 - min(ranges.bit_length(), MOST_BITS)
+    rows = ids.withColumn("_hash", F.xxhash64("_id")).withColumn("_bits", F.shiftright("_hash", shift))
+    before = Window.partitionBy("lang").orderBy("_bits").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("lang", "_bits").agg(F.count(F.lit(1)).alias("n"))
+    cuts = counts.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0))).filter(F.col("_before") < most)
+    cuts = cuts.groupBy("lang").agg(F.max("_bits").alias("_cut"))
+    near = rows.join(cuts, "lang").filter(F.col("_bits") <= F.col("_cut"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_hash", "_id"))
+    return near.withColumn("_rank", rank).filter(F.col("_rank") <= most).select("_id", "lang")
+
+
 def fit(
     docs: DataFrame,
     vocabulary: str,
@@ -197,9 +219,8 @@ def fit(
     What comes to the driver is one number for each piece and language.
     """
     labelled = docs.filter(F.col(lang_column).isNotNull() & F.col(id_column).isNotNull())
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id"))
     ids = labelled.select(F.col(id_column).alias("_id"), F.col(lang_column).alias("lang"))
-    chosen = ids.withColumn("_rank", rank).filter(F.col("_rank") <= sample_per_language).select("_id").distinct()
+    chosen = smallest_hashes(ids, sample_per_language).select("_id").distinct()
     rows = labelled.select(F.col(id_column).alias("_id"), F.col(lang_column).alias("lang"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"))
     texts = rows.join(F.broadcast(stored(chosen, "sample")), "_id").select("lang", "_text")  # the sample bounds it
     counted = map_batches(texts, _sample_words, "lang string, word string").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
@@ -284,7 +305,7 @@ def predict(docs: DataFrame, model: Model, text_column: str = "text") -> DataFra
     def run(batches: Batches) -> Batches:
         scorer = Scorer(shared.value)
         for batch in batches:
-            for part in text_slices(batch, text_column):
+            for part in text_slices(batch, text_column, SLICE):
                 predicted, score = scorer.predict(part.column(text_column))
                 columns = [*part.columns, pa.array(predicted, pa.string()), pa.array(score)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "lang_pred", "score"])

@@ -261,3 +261,14 @@ def test_tags_are_read_forward():
     assert texts('<p title="a > b">in</p> 1 < 2 <a href="x') == ["in", '1 < 2 <a href="x']
     assert texts("<p a='x>y</p>z") == ["y", "z"]
     assert texts("<p>x &#" + "0" * 5000 + "65; &#" + "1" * 6000 + "; y") == ["x A \ufffd y"]
+
+
+@pytest.mark.parametrize("most", [1, 7, 500])
+def test_smallest_hashes(spark, most):
+    rows = [(i // 2, "a" if i % 3 else "b") for i in range(900)] + [(5, "c")] * 30
+    ids = spark.createDataFrame(rows, "_id long, lang string").withColumn("h", F.xxhash64("_id"))
+    hashed = [(r["lang"], r["h"], r["_id"]) for r in ids.collect()]
+    expected = [x for lang in "abc" for x in sorted(h for h in hashed if h[0] == lang)[:most]]
+    got = langid.smallest_hashes(ids.drop("h"), most).withColumn("h", F.xxhash64("_id"))
+    assert sorted((r["lang"], r["h"], r["_id"]) for r in got.collect()) == sorted(expected)
+    assert langid.smallest_hashes(ids.drop("h").limit(0), most).count() == 0
