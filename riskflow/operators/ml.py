@@ -12,6 +12,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from riskflow import constants as C
+from riskflow.sources.published import current_path, publish
 from riskflow.sources.storage import stored
 
 
@@ -57,16 +58,18 @@ def create_ml_pipelines(
 
 
 def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+    """Publish the model at `path`. If that fails, the one saved before stays."""
+    publish(SparkSession.active(), path, lambda target: model.write().save(target))
 
 
 def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    """The latest model published at `path`, or a plain one saved there."""
+    return PipelineModel.load(current_path(SparkSession.active(), path))
 
 
 def model_exists(spark: SparkSession, path: str) -> bool:
     try:
-        spark.read.text(f"{path}/metadata")
+        spark.read.text(f"{current_path(spark, path)}/metadata")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return False

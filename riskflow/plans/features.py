@@ -13,7 +13,7 @@ from riskflow.functions import columns as X
 from riskflow.operators import sessions as S, transactions as T
 from riskflow.operators.skew import heavy_keys, lookup
 from riskflow.schemas import SCHEMAS
-from riskflow.sources.readers import load_data, read_labels
+from riskflow.sources.readers import load_checked_data, load_data, read_checked_csv, read_labels
 
 
 def feature_table(
@@ -115,16 +115,29 @@ def preprocess_data(
     schemas: Mapping[str, StructType] = SCHEMAS,
     as_of: dt.date | None = None,
     csv_options: Mapping[str, str] | None = None,
+    max_bad_share: float | None = None,
+    work_dir: str | None = None,
     **feature_options: object,
 ) -> DataFrame:
-    """The feature table from CSV files. `csv_options` go to the reader, such as `escape='"'` for doubled quotes."""
+    """The feature table from CSV files. `csv_options` go to the reader, such as `escape='"'` for doubled quotes.
+
+    With `max_bad_share`, each file is read once into a stored table, rows that do not fit their schema are left out, and
+    more than that share of them in a file is an error. Without it unreadable fields are null, as Spark reads them.
+    """
     options = dict(csv_options or {})
-    tables = load_data(spark, data_paths, schemas, **options)
+    if max_bad_share is None:
+        tables = load_data(spark, data_paths, schemas, **options)
+        labels = read_labels(spark, data_paths["fraud_transaction"], **options)
+    else:
+        limits = {"max_bad_share": max_bad_share, "work_dir": work_dir, **options}
+        used = {name: data_paths[name] for name in ("transactions", "browsing_behaviour", "customer")}
+        tables = {name: found.good for name, found in load_checked_data(spark, used, schemas, **limits).items()}
+        labels = read_checked_csv(spark, data_paths["fraud_transaction"], **limits).good
     return feature_table(
         tables["transactions"],
         tables["browsing_behaviour"],
         tables["customer"],
-        read_labels(spark, data_paths["fraud_transaction"], **options),
+        labels,
         as_of,
         **feature_options,
     )

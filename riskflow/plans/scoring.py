@@ -55,7 +55,7 @@ def run_scoring(
     """Score new transactions, write all columns to parquet and, if `jdbc` is given, the served ones to a database.
 
     The parquet output is the stored form that serving reads, and the served rows are stored as well, so nothing is
-    computed twice. `jdbc` holds the arguments of `write_jdbc`. Returns the served predictions. `key` is the column by
+    computed twice. Both outputs are replaced as a whole or not at all. `jdbc` holds the arguments of `write_jdbc`. Returns the served predictions. `key` is the column by
     which a first training samples; with it and `as_of` the run can be repeated.
     """
     shared = {"as_of": as_of, "browsing_events": browsing_events, "csv_options": csv_options}
@@ -66,5 +66,5 @@ def run_scoring(
     cells = geo.place_cells(places, work_dir=work_dir)
     served = stored(marts.served_predictions(geo.add_city_features(scored, cells, work_dir=work_dir)), work_dir)
     if jdbc is not None:
-        write_jdbc(served, **jdbc)
+        write_jdbc(served, **{"rows": served.count(), **jdbc})
     return served

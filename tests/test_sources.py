@@ -8,13 +8,15 @@ import random
 import duckdb
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from riskflow import constants as C
 from riskflow.plans import scoring
 from riskflow.plans.features import preprocess_data
 from riskflow.plans.training import preprocess_and_train
 from riskflow.schemas import SCHEMAS
-from riskflow.sources import readers, sinks
+from riskflow.sources import published, readers, sinks
 
 
 def write(path, text):
@@ -63,6 +65,85 @@ def test_parquet_is_replaced_and_read_as_a_view(spark, tmp_path):
     assert readers.fetch_data(spark, "select count(*) as n from predictions").first().n == 3
 
 
+def test_a_failed_write_leaves_the_old_data(spark, tmp_path):
+    path = str(tmp_path / "out")
+    sinks.write_parquet(spark.range(5), path)
+    before = readers.read_predictions(spark, path, view=None)
+    # Some tasks write their files before another fails.
+    broken = spark.range(0, 1000, 1, 8).select(F.when(F.col("id") == 999, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_parquet(broken, path)
+    assert before.count() == readers.read_predictions(spark, path, view=None).count() == 5
+    assert len([n for n in os.listdir(path) if n.startswith("version-")]) == 1
+    # The same data may be read and replaced; who still reads the version before can end; older ones go.
+    sinks.write_parquet(readers.read_predictions(spark, path, view=None).union(spark.range(2)), path)
+    assert (before.count(), readers.read_predictions(spark, path, view=None).count()) == (5, 7)
+    sinks.write_parquet(spark.range(1), path)
+    assert published.published_versions(spark, path)[0] == published.current_path(spark, path)
+    assert len([n for n in os.listdir(path) if n.startswith("version-")]) == 2
+    assert readers.read_predictions(spark, path, view=None).count() == 1
+
+
+def test_a_failure_between_write_and_pointer_leaves_the_old_data(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    sinks.write_parquet(spark.range(5), path)
+
+    def fail(*_):
+        raise OSError("driver lost")
+
+    monkeypatch.setattr(published, "_move_pointer", fail)
+    with pytest.raises(OSError):
+        sinks.write_parquet(spark.range(3), path)
+    assert readers.read_predictions(spark, path, view=None).count() == 5
+
+
+def test_plain_parquet_is_read_and_replaced(spark, tmp_path):
+    path = str(tmp_path / "plain")
+    spark.range(4).write.parquet(path)
+    assert readers.read_predictions(spark, path, view=None).count() == 4
+    sinks.write_parquet(spark.range(2), path)
+    assert readers.read_predictions(spark, path, view=None).count() == 2
+
+
+BROKEN = "id,day,amount\n1,2024-01-02,1.5\nx,2024-01-02,1.5\n2,never,2\n3,,\n4,2024-01-02\n5,2024-01-02,1,9\n,,\n6,2024-01-02,2\n"
+
+
+def test_bad_rows_are_kept_apart_and_counted(spark, tmp_path):
+    path = write(tmp_path / "a.csv", BROKEN)
+    schema = StructType().add("id", "integer").add("day", "date").add("amount", "float")
+    found = readers.read_checked_csv(spark, path, schema)
+    day = dt.date(2024, 1, 2)
+    assert found.good.dtypes == [("id", "int"), ("day", "date"), ("amount", "float")]
+    assert sorted(map(tuple, found.good.collect()), key=repr) == sorted([(1, day, 1.5), (3, None, None), (None, None, None), (6, day, 2.0)], key=repr)
+    assert sorted(r["line"] for r in found.bad.collect()) == ["2,never,2", "4,2024-01-02", "5,2024-01-02,1,9", "x,2024-01-02,1.5"]
+    assert all(r["file"].endswith("a.csv") for r in found.bad.collect())
+    assert (found.good_count, found.bad_count) == (4, 4)
+    assert found.good.select("id").count() == 4  # a pruned read has the same rows
+    with pytest.raises(ValueError, match="4 of 8 rows"):
+        readers.read_checked_csv(spark, path, schema, max_bad_share=0.4)
+
+
+def test_checked_rows_of_odd_files(spark, tmp_path):
+    schema = StructType().add("_line", "string").add("_file", "integer")
+    found = readers.read_checked_csv(spark, write(tmp_path / "a.csv", "_line,_file\na,1\nb,z\n"), schema)
+    assert [tuple(r) for r in found.good.collect()] == [("a", 1)] and found.bad.first()["line"] == "b,z"
+    empty = readers.read_checked_csv(spark, write(tmp_path / "b.csv", "_line,_file\n"), schema, max_bad_share=0.0)
+    assert (empty.good.count(), empty.bad.count(), empty.good_count, empty.bad_count) == (0, 0, 0, 0)
+    untyped = readers.read_checked_csv(spark, write(tmp_path / "c.csv", "t,f\n1,true\n2\n"))
+    assert [tuple(r) for r in untyped.good.collect()] == [("1", "true")] and untyped.bad_count == 1
+
+
+def test_features_leave_bad_rows_out(spark, csv_inputs, tmp_path):
+    with open(csv_inputs["transactions"]) as f:
+        text = f.read()
+    path = write(tmp_path / "t.csv", text + "not a time,x\n")
+    inputs = {**csv_inputs, "transactions": path}
+    checked = preprocess_data(spark, inputs, max_bad_share=0.1, work_dir=str(tmp_path))
+    assert checked.exceptAll(preprocess_data(spark, csv_inputs)).count() == 0 and checked.count() == 400
+    with pytest.raises(ValueError, match="1 of 401 rows"):
+        preprocess_data(spark, inputs, max_bad_share=0.001, work_dir=str(tmp_path))
+
+
 class Recorder:
     """Stands for DataFrame.write or SparkSession.read; keeps what it was called with."""
 
@@ -74,15 +155,80 @@ class Recorder:
         self.view = name
 
 
-def test_jdbc_options():
-    # No database is started for tests; this checks what Spark is asked to do.
-    writer, reader = Recorder(), Recorder()
-    frame = type("D", (), {"write": writer, "repartition": lambda self, n: setattr(writer, "tasks", n) or self})()
-    sinks.write_jdbc(frame, "jdbc:x", properties={"user": "u"}, connections=4)
-    assert writer.tasks == 4
-    assert writer.call == (
-        ("jdbc:x", "predictions"), {"mode": "overwrite", "properties": {"batchsize": "10000", "user": "u"}},
-    )
+class Database:
+    """Stands for a connection; keeps the statements that were committed."""
+
+    def __init__(self, rows=3, fails=""):
+        self.rows, self.fails, self.open, self.committed, self.asked = rows, fails, [], [], []
+
+    def setAutoCommit(self, on):
+        assert not on
+
+    def createStatement(self):
+        return self
+
+    def execute(self, text):
+        if self.fails and self.fails in text:
+            raise OSError(text)
+        self.open.append(text)
+
+    def executeQuery(self, text):
+        self.asked.append(text)
+        return self
+
+    def next(self):
+        return True
+
+    def getLong(self, column):
+        return self.rows
+
+    def commit(self):
+        self.committed, self.open = self.committed + self.open, []
+
+    def rollback(self):
+        self.open = []
+
+    def close(self):
+        pass
+
+
+def frame_for(writer):
+    return type("D", (), {"write": writer, "sparkSession": None, "repartition": lambda self, n: setattr(writer, "tasks", n) or self})()
+
+
+@pytest.mark.parametrize("url", ["jdbc:postgresql://h/d", "jdbc:mysql://h/d"])
+def test_a_table_is_staged_and_swapped(monkeypatch, url):
+    # No database is started for tests; this checks what Spark and the database are asked to do.
+    writer, database = Recorder(), Database()
+    monkeypatch.setattr(sinks, "connect", lambda *_: database)
+    sinks.write_jdbc(frame_for(writer), url, "shop.predictions", {"user": "u"}, connections=4, rows=3)
+    (_, staged), options = writer.call
+    assert staged.startswith("shop.predictions_new_") and writer.tasks == 4
+    assert options == {"mode": "overwrite", "properties": {"batchsize": "10000", "user": "u"}}
+    assert database.asked == [f"SELECT COUNT(*) FROM {staged}"]
+    if "mysql" in url:
+        assert database.committed[1] == f"RENAME TABLE shop.predictions TO {staged}_old, {staged} TO shop.predictions"
+    else:
+        assert database.committed == ["DROP TABLE IF EXISTS shop.predictions", f"ALTER TABLE {staged} RENAME TO predictions"]
+
+
+@pytest.mark.parametrize("fault", ["write", "rows", "swap"])
+def test_a_failed_run_leaves_the_old_table(monkeypatch, fault):
+    writer, database = Recorder(), Database(rows=6 if fault == "rows" else 3, fails="ALTER" if fault == "swap" else "")
+    monkeypatch.setattr(sinks, "connect", lambda *_: database)
+    if fault == "write":
+        def fail(url, table, **_):
+            writer.call = ((url, table), {})
+            raise RuntimeError("task failed")
+
+        writer.jdbc = fail
+    with pytest.raises((RuntimeError, OSError)):
+        sinks.write_jdbc(frame_for(writer), "jdbc:postgresql://h/d", rows=3)
+    assert database.committed == [f"DROP TABLE IF EXISTS {writer.call[0][1]}"]  # never the table itself
+
+
+def test_jdbc_read_options():
+    reader = Recorder()
     readers.read_jdbc(
         type("S", (), {"read": reader})(), "jdbc:x", properties={"user": "u"}, column="clear_payment", lowerBound=0,
         upperBound=1, numPartitions=2,
@@ -159,7 +305,7 @@ def test_scoring_run(spark, csv_inputs, scratch, monkeypatch):
     served = scoring.run_scoring(
         spark, csv_inputs, csv_inputs, model, places, output, jdbc={"url": "jdbc:x", "table": "predictions"}
     )
-    assert served.columns == C.SERVED_COLUMNS and sent["df"] is served and sent["options"]["url"] == "jdbc:x"
+    assert served.columns == C.SERVED_COLUMNS and sent["df"] is served and sent["options"] == {"url": "jdbc:x", "table": "predictions", "rows": 400}
     rows = served.collect()
     assert len(rows) == 400
     assert all(r.city == ("east" if r.shipment_location_long > 0 else "west") for r in rows)
