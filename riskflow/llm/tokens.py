@@ -8,6 +8,7 @@ a bounded cache keeps pieces over slices. Ids are the same as those of `encode`
 from __future__ import annotations
 
 import os
+from itertools import repeat
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -92,23 +93,53 @@ class Encoder:
         return ids
 
     def _add(self, words: list[str]) -> None:
-        lists = [self.piece(w) for w in words]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        need, count = self.size + int(lengths.sum()), len(self.cache) + len(lists)
+        """Encode new pieces and keep their ids. Plain words are spelled all at once; each goes through the model alone."""
+        plain = [w for w in words if w.isascii() and len(w) <= 64 and (w.isalpha() or (w[0] == " " and w[1:].isalpha()))]
+        tokenize, ids, sizes = self.model.tokenize, [], []
+        for spelled in "\n".join(plain).replace(" ", SPACE).split("\n") if plain else ():
+            tokens = tokenize(spelled)
+            sizes.append(len(tokens))
+            ids += [t.id for t in tokens]
+        if len(plain) < len(words):
+            done = set(plain)
+            rest = [w for w in words if w not in done]
+            for word in rest:
+                own = self.piece(word)
+                sizes.append(len(own))
+                ids += own
+            plain += rest
+        self._keep(plain, np.array(ids, np.uint32), np.array(sizes, np.int64))
+
+    def _keep(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Enter the words with their ids, which lie one after another."""
+        known, need = len(self.cache), self.size + len(ids)
+        count = known + len(words)
         if need > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(need - len(self.flat), len(self.flat)), np.uint32)])
         if count > len(self.starts):
             grow = max(count - len(self.starts), len(self.starts))
             self.starts = np.concatenate([self.starts, np.zeros(grow, np.int64)])
             self.lengths = np.concatenate([self.lengths, np.zeros(grow, np.int32)])
-        at = self.size
-        for word, ids, length in zip(words, lists, lengths.tolist(), strict=True):
-            k = len(self.cache)
-            self.cache[word] = k
-            self.starts[k], self.lengths[k] = at, length
-            self.flat[at : at + length] = ids
-            at += length
-        self.size = at
+        self.flat[self.size : need] = ids
+        self.lengths[known:count] = lengths
+        self.starts[known:count] = self.size + np.cumsum(lengths) - lengths
+        self.cache.update(zip(words, range(known, count), strict=True))
+        self.size = need
+
+    def _look_up(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.cache.get, words, repeat(-1)), np.int64, len(words))
+
+    def _shrink(self, words: list[str]) -> None:
+        """Forget all pieces but these."""
+        index = self._look_up(words)
+        kept = [words[i] for i in np.flatnonzero(index >= 0).tolist()]
+        index = index[index >= 0]
+        lengths = self.lengths[index].astype(np.int64)
+        ends = np.cumsum(lengths)
+        ids = self.flat[np.arange(lengths.sum()) + np.repeat(self.starts[index] - ends + lengths, lengths)]
+        self.cache.clear()
+        self.size = 0
+        self._keep(kept, ids, lengths)
 
     def _pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """For each piece its cache index; for each text the index of its first piece."""
@@ -137,11 +168,13 @@ class Encoder:
         ).dictionary_encode()
         words = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.cache) + len(words) > MAX_CACHED:
-            self.cache.clear()
-            self.size = 0
-        known = self.cache
-        self._add([w for w in words if w not in known])
-        index = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+            self._shrink(words)
+        index = self._look_up(words)
+        new = np.flatnonzero(index < 0)
+        if len(new):
+            added = [words[i] for i in new.tolist()]
+            self._add(added)
+            index[new] = self._look_up(added)
         return index[pieces.indices.to_numpy()], np.searchsorted(bounds, ends)
 
     def counts(self, texts: pa.Array) -> np.ndarray:
