@@ -23,9 +23,10 @@ FIRST_RULE = 1 << 20
 # A pair becomes a rule from this many occurrences on. Each round replaces up to so many pairs, the frequent first.
 MIN_COUNT = 16
 RULES_PER_ROUND = 1 << 13
-# The last round is the first that shortens the sequence by less than this share.
-LEAST_GAIN = 0.03
+# Rounds over the whole sequence go on while each shortens it by this share; then only the frequent pairs' places are kept.
+WHOLE_ROUND_GAIN = 0.1
 _SLOTS = 18
+_NO_RANK = np.int64(2**62)
 
 BLOCK_SCHEMA = """shard int, block int, n_ids long, doc_ids array<long>, id_ends binary, symbol_ends binary,
     rules binary, rule_lengths binary, symbols binary"""
@@ -80,11 +81,13 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[Grammar, np.ndarray]:
     """A grammar for the ids, and where each document ends among its symbols; documents end at `ends` among the ids.
 
     Each round counts all pairs and replaces those that occur MIN_COUNT times or more, at most RULES_PER_ROUND of them.
-    Where two such pairs overlap, the more frequent one is replaced; what is left comes in later rounds.
+    Where two such pairs overlap, the more frequent one is replaced; what is left comes in later rounds. In the end no
+    pair inside documents occurs MIN_COUNT times.
     """
     symbols = ids.astype(np.uint64)
     last = np.zeros(len(ids), bool)
     last[ends[ends > 0] - 1] = True
+    last[-1:] = True
     rules, lengths = np.zeros((0, 2), np.uint32), np.zeros(0, np.uint32)
     while len(symbols) > 1:
         pairs = (symbols[:-1] << np.uint64(32)) | symbols[1:]
@@ -98,10 +101,10 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[Grammar, np.ndarray]:
         often = often[np.argsort(-count[often], kind="stable")[:RULES_PER_ROUND]]
         chosen = distinct[often]
         # A hash table without chains: of two pairs in a slot the more frequent is taken now, the other in a later round.
-        slot = ((chosen * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOTS)).astype(np.int64)
+        slot = _slot(chosen)
         table, rank = np.full(1 << _SLOTS, 0xFFFFFFFFFFFFFFFE, np.uint64), np.zeros(1 << _SLOTS, np.int32)
         table[slot[::-1]], rank[slot[::-1]] = chosen[::-1], np.arange(len(chosen), dtype=np.int32)[::-1]
-        slot = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOTS)).astype(np.int64)
+        slot = _slot(pairs)
         none = np.int32(len(chosen))
         ranks = np.where(table[slot] == pairs, rank[slot], none)
         best = ranks < none
@@ -117,16 +120,91 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[Grammar, np.ndarray]:
         keep[at + 1] = False
         before = len(symbols)
         symbols, last = symbols[keep], last[keep]
-        made = np.stack([chosen[taken] >> np.uint64(32), chosen[taken] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
-        inner = made >= FIRST_RULE
-        sizes = np.ones(made.shape, np.uint32)
-        sizes[inner] = lengths[made[inner] - FIRST_RULE]
-        rules, lengths = np.concatenate([rules, made]), np.concatenate([lengths, sizes.sum(axis=1, dtype=np.uint32)])
-        if len(symbols) > (1 - LEAST_GAIN) * before:
+        rules, lengths = _with_rules(rules, lengths, chosen[taken])
+        if len(symbols) > (1 - WHOLE_ROUND_GAIN) * before:
+            symbols, last, rules, lengths = _replace_the_rest(symbols, last, rules, lengths)
             break
     return Grammar(rules, lengths, symbols.astype(np.uint32)), np.flatnonzero(last) + 1
 
 
+def _slot(pairs: np.ndarray) -> np.ndarray:
+    return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOTS)).astype(np.int64)
+
+
+def _with_rules(rules: np.ndarray, lengths: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rules and their lengths, with one more rule for each pair."""
+    made = np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
+    inner = made >= FIRST_RULE
+    sizes = np.ones(made.shape, np.uint32)
+    sizes[inner] = lengths[made[inner] - FIRST_RULE]
+    return np.concatenate([rules, made]), np.concatenate([lengths, sizes.sum(axis=1, dtype=np.uint32)])
+
+
+def _replace_the_rest(
+    symbols: np.ndarray, last: np.ndarray, rules: np.ndarray, lengths: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Go on until no pair occurs MIN_COUNT times, looking only at places of frequent pairs.
+
+    Symbols form a linked list. A pair of known symbols never becomes more frequent, and every pair with a new symbol lies
+    beside a place just replaced, so that counts over the kept and these places are exact. Of a run of equal symbols every
+    other pair is replaced.
+    """
+    n = len(symbols)
+    symbols, last = symbols.copy(), last.copy()
+    after, before = np.arange(1, n + 2), np.arange(-1, n)  # n, as well as -1, stands for no place
+    rank = np.full(n + 1, _NO_RANK)
+    alive = np.ones(n, bool)
+    pairs = (symbols[:-1] << np.uint64(32)) | symbols[1:]
+    ordered = np.sort(pairs)
+    edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1], [True]]))
+    marked = np.zeros(1 << _SLOTS, bool)  # a first sieve: slots of frequent pairs
+    marked[_slot(ordered[edge[:-1]][np.diff(edge) >= MIN_COUNT])] = True
+    places = np.flatnonzero(marked[_slot(pairs)] & ~last[:-1])
+    pairs = pairs[places]
+    while len(places):
+        order = np.argsort(pairs)
+        ordered = pairs[order]
+        edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1], [True]]))
+        count, distinct = np.diff(edge), ordered[edge[:-1]]
+        by_count = np.argsort(-count, kind="stable")
+        of_pair = np.empty(len(count), np.int64)
+        of_pair[by_count] = np.arange(len(count))
+        chosen = distinct[by_count]
+        ranks = np.empty(len(places), np.int64)
+        ranks[order] = np.repeat(np.where(count >= MIN_COUNT, of_pair, _NO_RANK), count)
+        often = np.flatnonzero(ranks < _NO_RANK)
+        if not len(often):
+            break
+        places, pairs, ranks = places[often], pairs[often], ranks[often]
+        # Of overlapping pairs the more frequent goes, of a run of one pair every other, from the first on.
+        rank[places] = ranks
+        lowest = (rank[before[places]] >= ranks) & (rank[after[places]] >= ranks)
+        rank[places] = _NO_RANK
+        goes_on = np.zeros(len(places), bool)
+        goes_on[1:] = (before[places[1:]] == places[:-1]) & (ranks[1:] == ranks[:-1])
+        index = np.arange(len(places))
+        now = lowest & ((index - np.maximum.accumulate(np.where(goes_on, 0, index))) % 2 == 0)
+        at, used = places[now], ranks[now]
+        taken, rule = np.unique(used, return_inverse=True)
+        symbols[at] = (rule + len(rules) + FIRST_RULE).astype(np.uint64)
+        rules, lengths = _with_rules(rules, lengths, chosen[taken])
+        gone = after[at]
+        alive[gone] = False
+        last[at] = last[gone]
+        after[at] = after[gone]
+        before[after[at]] = at
+        # Places whose pair is still the same, and those beside a new symbol, in order.
+        rest, old = places[~now], pairs[~now]
+        still = alive[rest] & ~last[rest]
+        rest, old = rest[still], old[still]
+        rest = rest[(symbols[rest] << np.uint64(32)) | symbols[after[rest]] == old]
+        beside = np.concatenate([at, before[at]])
+        beside = beside[beside >= 0]
+        places = np.unique(np.concatenate([rest, beside[~last[beside]]]))
+        pairs = (symbols[places] << np.uint64(32)) | symbols[after[places]]
+    return symbols[alive], last[alive], rules, lengths
+
+
 def _write_blocks(vocabulary: str, end_id: int):
     def write(batches: Batches) -> Batches:
         shard, block = TaskContext.get().partitionId(), 0

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -10,7 +11,8 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from riskflow.llm import packing, repair, token_counts
+from riskflow.llm import packing, repair, token_counts, tokens
+from riskflow.llm.common import SLICE_BYTES
 from riskflow.llm.tokens import Encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -98,6 +100,55 @@ def test_grammar_round_trip_and_random_access():
             assert len(grammar.rules) > 20 and len(grammar.symbols) < len(ids) / 2
 
 
+def most_frequent_pair(grammar, symbol_ends):
+    """By brute force: how often the most frequent pair inside documents is left."""
+    left, low = Counter(), 0
+    for high in symbol_ends.tolist():
+        part = grammar.symbols[low:high].tolist()
+        left.update(zip(part, part[1:]))
+        low = high
+    return max(left.values(), default=0)
+
+
+@pytest.mark.parametrize("letters", [1, 2, 40, 3000])
+def test_no_frequent_pair_is_left(letters):
+    rng = np.random.default_rng(letters)
+    ids = (letters * rng.random(60_000) ** 3).astype(np.uint32)
+    ids[:9_000] = 0  # long runs of one id
+    ends = np.unique(np.append(rng.integers(1, len(ids), 300), len(ids))).astype(np.int64)
+    grammar, symbol_ends = repair.compress(ids, ends)
+    assert grammar.decode().tolist() == ids.tolist()
+    assert most_frequent_pair(grammar, symbol_ends) < repair.MIN_COUNT
+    begin = 0
+    for high, low, end in zip(symbol_ends.tolist(), [0, *ends.tolist()], ends.tolist()):
+        assert grammar.decode(begin, high).tolist() == ids[low:end].tolist()
+        begin = high
+
+
+def test_pieces_stay_right_when_the_cache_is_full(monkeypatch):
+    monkeypatch.setattr(tokens, "MAX_CACHED", 60)
+    encoder, rng = Encoder(PATH), random.Random(8)
+    for _ in range(40):
+        texts = [" ".join(rng.choice(["the", "café", "x" * 70, "don't", f"n{rng.randrange(99)}", f"w{'abcdefgh'[rng.randrange(8)]}z"]) for _ in range(30))]
+        ids, _ = encoder.encode(pa.array(texts))
+        assert ids.tolist() == ids_of(texts[0])
+
+
+def test_texts_longer_than_a_slice(spark):
+    rng = random.Random(6)
+    text = " ".join(rng.choice(["lorem", "ipsum", "dolor", "sit amet", "\n"]) + str(rng.randrange(50)) for _ in range(600_000))
+    assert len(text) > SLICE_BYTES
+    docs = spark.createDataFrame([(1, "short"), (2, text), (3, text), (4, None)], "doc_id long, text string")
+    expected = {1: ids_of("short") + [2], 2: ids_of(text) + [2], 4: [2]}
+    expected[3] = expected[2]
+    rows = {r["doc_id"]: r for r in repair.encode_and_read_back(docs, PATH, end_id=2).collect()}
+    assert {d: (r["n_tokens"], r["ids_crc32"]) for d, r in rows.items()} == {
+        d: (len(i), zlib.crc32(np.array(i, "<u4").tobytes())) for d, i in expected.items()
+    }
+    counts = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(docs, PATH, 1024).collect()}
+    assert counts == {d: len(i) - 1 for d, i in expected.items()}
+
+
 def check_pieces(rows, docs, window):
     """Each id of each document is in exactly one piece, and the pieces hold the ids they say."""
     of = {}
