@@ -7,8 +7,9 @@ Comparison. Hashed bitmaps bound the overlap from above by bit counts: pairs are
 the sorted arrays are moved and intersected only for those that may still be similar enough.
 Classes. Equal sets are one node. In a first round each node is compared with the most central member of its tiles
 only, and links are contracted. Tiles whose members are one class by then are done. Of the others, small ones give
-their pairs between different classes. Members of large ones, which share a long passage, meet again in tiles of their
-rarest shingles, in the same two steps; only what is large and open even then is compared in blocks.
+their pairs between different classes. Members of large ones, which share a long passage, are left out if too many of
+their shingles are theirs alone; the rest meet again in tiles of their rarest shingles, in the same two steps. Only what
+is large and open even then is compared in blocks.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ SPARE_SEGMENTS = 4
 BITS_PER_ELEMENT = 2
 # Members of a tile up to which its open pairs are listed; beyond, blocks of so many sets are compared.
 BLOCK = 32
+# Shingles of members of large tiles that are counted first, as a multiple of those that a partner may lack.
+COUNTED_FIRST = 2
 
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -162,16 +165,17 @@ class _Sets:
 
     def __init__(self, rows: DataFrame, nodes: DataFrame, width: int, percent: int) -> None:
         self.rows, self.width, self.percent = rows.filter("doc_id is not null"), width, percent
-        made = map_batches(self._texts(nodes), _signatures(width), "node long, n long, bits binary")
+        made = map_batches(self.texts(nodes), _signatures(width), "node long, n long, bits binary")
         self.signatures = stored(made.join(nodes, "node", "left_semi"), "signatures")
 
-    def _texts(self, nodes: DataFrame) -> DataFrame:
+    def texts(self, nodes: DataFrame) -> DataFrame:
+        """(doc_id, _text) of stored `nodes`, and of few others."""
         wanted = stored(filter_of(nodes), "filter")
         return with_repeated(self.rows, "doc_id", wanted, "_wanted").filter("_wanted").select("doc_id", "_text")
 
     def arrays(self, nodes: DataFrame) -> DataFrame:
         """(node, shingles) of stored `nodes`."""
-        return map_batches(self._texts(nodes), _arrays(self.width), "node long, shingles binary").join(nodes, "node", "left_semi")
+        return map_batches(self.texts(nodes), _arrays(self.width), "node long, shingles binary").join(nodes, "node", "left_semi")
 
 
 def _least_shared(n: np.ndarray | int, m: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -323,7 +327,8 @@ def near_duplicate_classes(
     links = links.unionByName(_listed_links(left, sets, compared))
     many = stored(left.filter(F.col("size") > BLOCK).select("node").distinct(), "many")
     if not many.isEmpty():
-        rare = stored(_rarest(sets.arrays(many), percent), "rare")
+        rivals = stored(_with_company(many, sets), "rivals")
+        rare = stored(_rarest(sets.arrays(rivals), percent), "rare")
         links, labels, compared, left = _with_centres(rare, sets, links)
         links = links.unionByName(_listed_links(left, sets, compared))
         large = left.filter(F.col("size") > BLOCK)
@@ -387,6 +392,38 @@ def _listed_links(left: DataFrame, sets: _Sets, compared: DataFrame) -> DataFram
     return _compared(listed.join(known, ["a", "b"], "left_anti"), sets).filter("linked").select("a", "b")
 
 
+def _counted_first(width: int, percent: int):
+    share = min(1.0, COUNTED_FIRST * (100 - percent) / 100)
+    below = np.uint64(min(int(share * 2.0**64), 2**64 - 1))
+
+    def counted(batches: Batches) -> Batches:
+        for batch in batches:
+            for part in text_slices(batch, "_text"):
+                sets = [s[mix(s) <= below] for s in _sets(part.column("_text"), width)]
+                nodes = np.repeat(part.column("doc_id").to_numpy(), [len(s) for s in sets])
+                flat = np.concatenate(sets).view(np.int64)
+                for low in range(0, len(flat), 1 << 20):
+                    rows = slice(low, low + (1 << 20))
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes[rows]), pa.array(flat[rows])], names=["node", "shingle"])
+
+    return counted
+
+
+def _with_company(nodes: DataFrame, sets: _Sets) -> DataFrame:
+    """Those of `nodes` that may have a similar one among them.
+
+    A partner holds `percent` in 100 of a set's shingles, so a set with more shingles of its own than the rest has none.
+    To see that it is enough to count some shingles, chosen by hash for all sets alike. Others that pass the filter of
+    texts only make fewer shingles unique. An id of several texts always stays.
+    """
+    shingles = map_batches(sets.texts(nodes), _counted_first(sets.width, sets.percent), "node long, shingle long")
+    single = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.min("node").alias("node")).filter("df = 1")
+    alone = stored(single.groupBy("node").agg(F.count(F.lit(1)).alias("alone")), "alone")
+    sizes = sets.signatures.groupBy("node").agg(F.count(F.lit(1)).alias("texts"), F.max("n").alias("n"))
+    without = alone.join(sizes, "node").filter(f"texts = 1 and 100 * (n - alone) < {sets.percent} * n")
+    return nodes.join(without, "node", "left_anti")
+
+
 def _exploded(batches: Batches) -> Batches:
     for batch in batches:
         sets = [np.frombuffer(s.as_py(), np.int64) for s in batch.column("shingles")]

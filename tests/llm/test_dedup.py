@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskflow.llm import components as linked, exact_dedup, jaccard, line_dedup
 
@@ -227,3 +228,22 @@ def test_few_listed_pairs_read_arrays(spark, sf_dir, monkeypatch):
     assert jaccard.near_duplicate_classes(docs, width=5, percent=80).count() == docs.count()
     listed = bounded[1]  # the first round compares with the centres of tiles
     assert listed.filter("possible").count() < 0.05 * listed.count()
+
+
+@pytest.mark.parametrize("width, percent", [(5, 80), (3, 90), (2, 60)])
+def test_no_set_with_a_partner_is_left_out(spark, width, percent):
+    rng = random.Random(8)
+    rows = near_copies(rng)
+    passage = words(rng, 30)
+    rows += [(900 + i, passage + " " + words(rng, 150)) for i in range(20)]  # mostly shingles of their own
+    rows += [(950, rows[-1][1]), (950, words(rng, 90)), (951, rows[-2][1] + " end"), (952, "few"), (953, None)]
+    nodes = spark.createDataFrame([(d,) for d in sorted({d for d, t in rows if d is not None and t})], "node long")
+    sets = jaccard._Sets(frame(spark, rows).select("doc_id", F.coalesce("text", F.lit("")).alias("_text")), nodes, width, percent)
+    left = {r["node"] for r in jaccard._with_company(nodes, sets).collect()}
+    classes = {}
+    for d, n, c in brute_classes(rows, width, percent):
+        if d is not None and n:
+            classes.setdefault(c, set()).add(d)
+    assert all(members <= left for members in classes.values() if len(members) > 1)
+    assert {918, 951, 919, 950} <= left  # one of the two texts of 950 has a partner
+    assert not left & set(range(900, 918))
