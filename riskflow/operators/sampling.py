@@ -37,8 +37,10 @@ def split(
     parts, low = [], 0.0
     for number, weight in enumerate(weights):
         high = low + weight / sum(weights)
-        upper = F.lit(True) if number == len(weights) - 1 else position < F.lit(high)
-        parts.append(df.filter((position >= F.lit(low)) & upper))
+        lower = position >= F.lit(low)
+        # No position is below 0: one test, and so one digest a row, does for the first part.
+        inside = lower if number == len(weights) - 1 else position < F.lit(high) if number == 0 else lower & (position < F.lit(high))
+        parts.append(df.filter(inside))
         low = high
     return parts
 

@@ -88,6 +88,16 @@ def _counted(rows: DataFrame, key: str, hot: list[int], limit: int) -> DataFrame
     return F.broadcast(rows.sparkSession.createDataFrame(listed, found.schema)) if listed else None
 
 
+def no_repeats(df: DataFrame, key: str) -> bool:
+    """Whether no value of `key`, null included, is on two rows.
+
+    64-bit hashes are counted, merged before the shuffle: 8 bytes and a count per row are moved. Values that share a hash
+    look like a repeat, so that False may be wrong, about once in a billion billion pairs, but True never is.
+    """
+    counts = df.select(F.xxhash64(key).alias("hash")).groupBy("hash").count()
+    return (counts.agg(F.max("count")).first()[0] or 0) <= 1
+
+
 def _with_parts(df: DataFrame, key: str, heavy: HeavyKeys) -> DataFrame:
     if heavy.table is None:
         return df.withColumn("_parts", F.lit(None).cast("int"))

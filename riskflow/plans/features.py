@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from riskflow import constants as C
 from riskflow.functions import columns as X
 from riskflow.operators import sessions as S, transactions as T
-from riskflow.operators.skew import heavy_keys, lookup
+from riskflow.operators.skew import heavy_keys, lookup, no_repeats
 from riskflow.schemas import SCHEMAS
 from riskflow.sources.readers import load_checked_data, load_data, read_checked_csv, read_labels
 
@@ -24,15 +24,18 @@ def feature_table(
     as_of: dt.date | None = None,
     browsing_events: Sequence[str] = C.BROWSING_EVENTS,
     columns: Sequence[str] = tuple(C.FEATURE_COLUMNS),
-    unique_ids: bool = False,
+    unique_ids: bool | None = None,
 ) -> DataFrame:
     """All features in one pass over each input.
 
     Equal to `feature_table_stepwise`, but the events are read once and transactions are shuffled once per key. Name
-    only the needed `columns`, so that the rest (such as the item JSON) is not shuffled. With `unique_ids` the caller
-    states that transaction_id does not repeat, and the steps that merge rows of one id are left out.
+    only the needed `columns`, so that the rest (such as the item JSON) is not shuffled. Where transaction_id does not
+    repeat, the steps that merge rows of one id are left out. That is measured, unless the caller states it in
+    `unique_ids`.
     """
     transactions = transactions.filter("transaction_id is not null")
+    if unique_ids is None:
+        unique_ids = no_repeats(transactions, "transaction_id")
     heavy = heavy_keys(transactions, "session_id", "customer_id")
     heavy_labels = heavy_keys(labels, "transaction_id")
     id_keys = T.label_keys(heavy_labels)
@@ -47,11 +50,14 @@ def feature_table(
 
     def finished(rows: DataFrame) -> DataFrame:
         counts = [F.col(level).cast("int").alias(count) for level, count in zip(S.LEVELS, S.COUNTS)]
-        rows = rows.filter("items > 0 and listed > 0").withColumnRenamed("pieces", "purchases_count")
-        rows = S.add_event_level_ratios(S.with_session_clock(rows.select("*", *counts)))
+        # The condition on items needs the session too, so that it is not tested below the join by reading the JSON again.
+        rows = rows.filter("listed > 0").filter("if(listed > 0, items > 0, false)").withColumnRenamed("pieces", "purchases_count")
+        rows = S.add_event_level_ratios(rows.select("*", *counts))
+        if set(CLOCK_FROM) <= set(rows.columns):
+            rows = S.with_session_clock(rows)
         return T.add_account_and_promo_features(T.attach_labels(rows, labels, heavy_labels), as_of).select(*columns)
 
-    return finished(rows if unique_ids else _merged(rows, id_keys))
+    return finished(rows if unique_ids else _merged(rows, id_keys, columns))
 
 
 def _sold(transactions: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -73,20 +79,22 @@ def _sold(transactions: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 SUMMED = [*S.LEVELS, "pieces", "items"]
 COMPLETE = "in_session and known_customer"
+CLOCK_FROM = ["start_time", "finish_time"]
+CLOCK = ["midpoint_time", "hour", "time_of_day"]
 
 
-def _merged(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _merged(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """One row per id: events and pieces summed over all its rows, the rest from its first complete row.
 
-    Rows of one id are merged before the shuffle as well as after it, so no task has to hold all of them.
+    Rows of one id are merged before the shuffle as well as after it, so no task has to hold all of them. A row carries
+    the columns of its order once, and others only if `columns` need them.
     """
-    kept = [c for c in rows.columns if c not in [*keys, *SUMMED]]
-    complete = F.expr(COMPLETE)
     order = T.transaction_order(F.col("row_hash"), F.col("item_hash"))
-    order = F.struct(*[c.alias(f"order_{i}") for i, c in enumerate(order)])
+    needed = {*columns, "listed", "first_join_date", "age", "promo_code", "label_heavy", *(CLOCK_FROM if {*CLOCK} & {*columns} else [])}
+    ordering = ["session_id", "created_at", "customer_id", "item_hash", "total_amount", "row_hash"]
+    others = [c for c in rows.columns if c in needed and c not in [*keys, *SUMMED, *ordering]]
     merged = rows.groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in SUMMED],
-        F.min_by(F.when(complete, F.struct(*kept)), F.when(complete, order)).alias("kept"),
+        *[F.sum(c).alias(c) for c in SUMMED], F.min(F.when(F.expr(COMPLETE), F.struct(*order, *others))).alias("kept")
     )
     return merged.filter("kept is not null").select(*keys, *SUMMED, "kept.*")
 

@@ -8,6 +8,7 @@ import pytest
 
 from riskflow import constants as C
 from riskflow.operators import skew
+from riskflow.plans import features
 from riskflow.plans.features import feature_table, feature_table_stepwise
 from riskflow.schemas import SCHEMAS
 
@@ -95,3 +96,36 @@ def test_only_named_columns_are_shuffled(spark, tmp_path):
     assert not any(re.search("Aggregate|Join|Exchange|Window|Sort", x) for x in plan.splitlines() if "shipment_fee" in x)
     unique = feature_table(*tables, as_of=AS_OF, columns=["transaction_id", *C.NUMERIC_COLUMNS, "is_fraud"], unique_ids=True)
     assert "shipment_fee" not in unique._jdf.queryExecution().executedPlan().toString()
+
+
+def plan_text(spark, df):
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("keys,expected", [
+    (["a", "b", "c"], True), (["a", "b", None], True), (["a", "b", "a"], False), ([None, "a", None], False), ([], True),
+])
+def test_repeats_are_found(spark, keys, expected):
+    assert skew.no_repeats(spark.createDataFrame([(k,) for k in keys], "k string"), "k") is expected
+
+
+def test_rows_are_merged_only_where_ids_repeat(spark, monkeypatch):
+    merged = []
+    monkeypatch.setattr(features, "_merged", lambda *args, f=features._merged: merged.append(1) or f(*args))
+    once, twice = messy_tables(spark, 3, unique=True), messy_tables(spark, 1, unique=False)
+    got = rows(feature_table(*once, as_of=AS_OF))
+    assert merged == []
+    assert len(got) > 60 and got == rows(feature_table(*once, as_of=AS_OF, unique_ids=False))
+    feature_table(*twice, as_of=AS_OF)
+    assert merged == [1, 1]
+
+
+def test_merged_rows_carry_only_what_the_columns_need(spark):
+    tables = messy_tables(spark, 1, unique=False)
+    few = ["transaction_id", "total_amount", "hour", "age_bin", "is_fraud"]
+    table = feature_table(*tables, as_of=AS_OF, columns=few)
+    assert rows(table) == rows(feature_table(*tables, as_of=AS_OF).select(few))
+    assert "gender" not in plan_text(spark, table).split("Aggregate [transaction_id", 1)[1].split("\n", 1)[0]
+    assert "geolocation" not in plan_text(spark, table)
+    assert "start_time" not in plan_text(spark, feature_table(*tables, as_of=AS_OF, columns=["transaction_id", "is_fraud"]))

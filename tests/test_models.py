@@ -10,7 +10,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from riskflow import constants as C
+from riskflow import constants as C, registry
 from riskflow.operators import ml, sampling, trees
 from riskflow.plans import training
 from riskflow.sources import storage
@@ -180,3 +180,29 @@ def test_area_under_roc_of_one_class_or_no_rows(spark):
     df = spark.createDataFrame([(0.5, 1), (0.6, 1)], "score double, is_fraud int")
     assert tuple(ml.area_under_roc(df, "score").first()) == (None, 2, 0)
     assert tuple(ml.area_under_roc(df.limit(0), "score").first()) == (None, 0, 0)
+
+
+def test_the_first_part_needs_one_digest(labelled):
+    first, last = sampling.split(labelled, key="transaction_id")
+    assert first.count() + last.count() == labelled.count()
+    assert first._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+
+
+@pytest.mark.parametrize("name", ["held_out_quality"])
+def test_training_rows_are_chosen_once(spark, monkeypatch, sf_dir, labelled, name):
+    plans = []
+
+    class Pipelines:
+        def fit(self, train):
+            plans.append(train._jdf.queryExecution().optimizedPlan().toString())
+            raise InterruptedError
+
+    class Given(registry.Inputs):
+        def model_rows(self):
+            return labelled
+
+    monkeypatch.setattr(ml, "create_ml_pipelines", lambda: {"gbt_pipeline": Pipelines(), "rf_pipeline": Pipelines()})
+    monkeypatch.setattr(registry, "Inputs", Given)
+    with pytest.raises(InterruptedError):
+        registry.QUERIES[name](spark, sf_dir)
+    assert len(plans) == 1 and "md5" not in plans[0]
