@@ -601,7 +601,7 @@ def gbt_scores(t: Inputs) -> tuple[DataFrame, DataFrame]:
     """All rows scored by boosted trees, and the held-out rows among them."""
     rows = stored(t.model_rows())
     train, test = sampling.split(sampling.balanced_sample(rows, key="transaction_id"), key="transaction_id")
-    model = ml.create_ml_pipelines()["gbt_pipeline"].fit(train)
+    model = fitted("gbt_pipeline", train)
     return model.transform(rows), model.transform(test)
 
 
