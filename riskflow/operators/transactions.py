@@ -88,14 +88,20 @@ def enrich_feature_data(
 ) -> DataFrame:
     """Add geolocation, session times and the customer profile, and keep one row per transaction id.
 
-    Rows without a session in `session_times` or without a customer are dropped.
+    Rows without a session in `session_times` or without a customer are dropped. Hashes for the order of rows are made
+    before the joins, so that the item JSON is shuffled only for a caller who keeps it.
     """
     heavy = heavy if heavy is not None else heavy_keys(features, "session_id", "customer_id")
     profiles = one_profile_per_customer(customers, as_of)
-    rows = add_geolocation(features)
+    hashes = {"_items": F.xxhash64("product_metadata"), "_row": F.xxhash64(*sorted(features.columns))}
+    rows = features.withColumns(hashes)
     rows = lookup(rows, session_times, "session_id", heavy["session_id"], spread_by="transaction_id")
     rows = lookup(rows, profiles, "customer_id", heavy["customer_id"], spread_by="transaction_id")
-    return dedup_transactions(rows)
+    joined = [c for c in rows.columns if c not in features.columns and c not in hashes]
+    order = transaction_order(F.xxhash64("_row", *sorted(joined)), F.col("_items"))
+    kept = add_geolocation(first_per_key(rows, "transaction_id", order))
+    own = [c for c in rows.columns if c in features.columns]
+    return kept.select(*own, "geolocation", *joined)
 
 
 def spread_for_labels(features: DataFrame, heavy_labels: Heavy) -> DataFrame:

@@ -18,7 +18,7 @@ from riskflow.fixtures import input_cte, input_table
 from riskflow.functions import columns as X
 from riskflow.operators import geo, marts, ml, sampling, sessions as S, transactions as T, trees
 from riskflow.operators.skew import heavy_keys, lookup
-from riskflow.plans.features import feature_table
+from riskflow.plans.features import CLOCK, CLOCK_FROM, feature_table
 from riskflow.sources.storage import stored
 
 AS_OF = dt.date(2024, 6, 30)
@@ -337,8 +337,11 @@ def customer_profile(t: Inputs) -> DataFrame:
 )
 def enriched_transactions(t: Inputs) -> DataFrame:
     times = S.calculate_session_times(t.browsing_behaviour)
+    # The clock follows from both times; it is told after the last shuffle. The other columns keep their order.
+    rows = T.enrich_feature_data(t.transactions, times.select("session_id", *CLOCK_FROM), t.customer, AS_OF)
+    at = rows.columns.index(CLOCK_FROM[-1]) + 1
     # Item order in the JSON text is not defined, so the text itself is not compared.
-    return T.enrich_feature_data(t.transactions, times, t.customer, AS_OF).drop("product_metadata")
+    return S.with_session_clock(rows).select(*rows.columns[:at], *CLOCK, *rows.columns[at:]).drop("product_metadata")
 
 
 @query("select * from items_v", "items")

@@ -6,6 +6,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
+from riskflow.fixtures import input_table
 from riskflow.functions import columns as X
 from riskflow.operators import skew, transactions as T
 
@@ -152,3 +153,49 @@ def test_repeat_rows_numbers_every_copy(spark, monkeypatch, copies):
     monkeypatch.setattr(skew, "COPIES_PER_CHUNK", 8)
     df = spark.createDataFrame([("a", copies)], "k string, n bigint")
     assert sorted(r.i for r in skew.repeat_rows(df, "n", "i").collect()) == list(range(1, copies + 1))
+
+
+def enriched_inputs(spark):
+    t = dt.datetime(2024, 1, 1)
+    features = spark.createDataFrame(
+        [("a", "s1", t, 1, '[{"quantity":1}]', 1.0, 2.0, 3.0), ("a", "s0", t, 9, "x", 1.0, 2.0, 3.0), ("a", "s1", t, 1, None, 1.0, 2.5, 3.0),
+         ("b", "s2", t, 1, "y", 4.0, None, 3.0), (None, "s1", t, 1, "z", 5.0, 1.0, 1.0), ("c", None, t, 1, "z", 5.0, 1.0, 1.0)],
+        "transaction_id string, session_id string, created_at timestamp, customer_id int, product_metadata string, "
+        "total_amount double, shipment_location_lat double, shipment_location_long double",
+    )
+    times = spark.createDataFrame([("s0", 0), ("s1", 1), ("s2", 2)], "session_id string, hour int")
+    customers = spark.createDataFrame([(1, "F", dt.date(1990, 1, 1), "2019-05-05")], "customer_id int, gender string, birthdate date, first_join_date string")
+    return features, times, customers
+
+
+def test_enrichment_keeps_the_first_complete_row(spark):
+    found = T.enrich_feature_data(*enriched_inputs(spark), AS_OF)
+    assert found.columns == [
+        "customer_id", "session_id", "transaction_id", "created_at", "product_metadata", "total_amount", "shipment_location_lat",
+        "shipment_location_long", "geolocation", "hour", "age", "first_join_year", "gender", "first_join_date",
+    ]
+    got = rows(found, "transaction_id", "session_id", "hour", "geolocation")
+    assert [r for r in got if r[0] != "a"] == [("b", "s2", 2, None), (None, "s1", 1, "1.0,1.0")]
+    assert [r[:3] for r in got if r[0] == "a"] == [("a", "s1", 1)]
+
+
+def test_item_text_is_not_shuffled_for_a_caller_who_drops_it(spark):
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    found = T.enrich_feature_data(*enriched_inputs(spark), AS_OF).drop("product_metadata")
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    lowest = max(i for i, line in enumerate(plan) if "Join Inner" in line)
+    assert not any("product_metadata" in line for line in plan[:lowest])
+    assert any("xxhash64(product_metadata" in line for line in plan[lowest:])
+
+
+def test_items_are_dealt_out_as_numbers(spark, tmp_path):
+    write = lambda name, data, schema: spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    write("lineitem", [(1, 7, 2.0, 10.5), (1, 8, 3.0, 20.0), (None, 9, 1.0, 1.0)], "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double")
+    order = (5, "O", 9.5, dt.datetime(2024, 1, 1), "1-URGENT")
+    write("orders", [(1, *order), (2, *order)], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string")
+    df = input_table(spark, str(tmp_path), "transactions")
+    found = rows(T.transaction_items(df), "transaction_id", "product_id", "quantity", "item_price")
+    assert found == [("1", 7, 2, 10), ("1", 8, 3, 20)]
+    assert rows(df.filter("product_metadata is null"), "transaction_id") == [("2",)]
+    below = df._jdf.queryExecution().optimizedPlan().toString().split("string_agg", 1)[1]
+    assert below.index("concat(") < below.index("RepartitionByExpression [l_orderkey")
