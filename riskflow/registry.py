@@ -616,7 +616,7 @@ def gbt_scores(t: Inputs) -> tuple[DataFrame, DataFrame]:
 def rf_train_score(t: Inputs) -> DataFrame:
     sample = stored(sampling.balanced_sample(t.model_rows(), key="transaction_id"))
     train, test = sampling.split(sample, key="transaction_id")
-    model = ml.create_ml_pipelines()["rf_pipeline"].fit(train)
+    model = fitted("rf_pipeline", train)
     return model.transform(test).select("transaction_id", "is_fraud", F.col("prediction").isin(0.0, 1.0).alias("class_known"))
 
 

@@ -188,7 +188,7 @@ def test_the_first_part_needs_one_digest(labelled):
     assert first._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
 
 
-@pytest.mark.parametrize("name", ["held_out_quality", "score_transactions"])
+@pytest.mark.parametrize("name", ["held_out_quality", "score_transactions", "rf_train_score"])
 def test_training_rows_are_chosen_once(spark, monkeypatch, sf_dir, labelled, name):
     plans = []
 
